@@ -82,10 +82,16 @@ def decode_message(value: Column) -> Column:
 
 
 def encode_message(time: Column, meter_id: Column, kwh: Column, is_anomaly: Column, source: Column) -> Column:
-    """JSON message of a reading; whole seconds in UTC with a trailing Z."""
+    """JSON message of a reading; time in UTC with a trailing Z, fractions of a second only when there are any."""
+    fraction = F.date_format(time, "SSSSSS")
+    text = F.concat(
+        F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss"),
+        F.when(fraction == "000000", F.lit("")).otherwise(F.concat(F.lit("."), fraction)),
+        F.lit("Z"),
+    )
     return F.to_json(
         F.struct(
-            F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"),
+            text.alias("timestamp"),
             meter_id.alias("meter_id"),
             kwh.alias("kwh"),
             is_anomaly.alias("is_anomaly"),

@@ -7,13 +7,12 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accepted timestamp layouts, tried in this order.
+# Accepted timestamp layouts besides ISO, each with the shape that selects it.
 TIMESTAMP_LAYOUTS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "d/M/yyyy H:m:s",
-    "yyyy-MM-dd H-m-s",
+    (r"^\d{1,2}/\d{1,2}/\d{4} ", "d/M/yyyy H:m:s"),
+    (r"^\d{4}-\d{2}-\d{2} \d{1,2}-\d{1,2}-\d{1,2}$", "yyyy-MM-dd H-m-s"),
 )
+ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}"
 
 
 def floor_bucket(ts: Column, minutes: int) -> Column:
@@ -33,21 +32,17 @@ def time_bucket(ts: Column, width: str) -> Column:
 def parse_time(text: Column, strict: bool = False) -> Column:
     """Timestamp from ISO text (with or without zone) or one of the known layouts; null or error otherwise."""
     trimmed = F.trim(text)
-    parsed = F.coalesce(
-        *[F.try_to_timestamp(trimmed, F.lit(layout)) for layout in TIMESTAMP_LAYOUTS],
-        trimmed.try_cast("timestamp"),
-    )
+    # The shape picks one parser per value, so no row pays for failed attempts.
+    parsed = F.when(trimmed.isNull(), F.lit(None).cast("timestamp"))
+    for shape, layout in TIMESTAMP_LAYOUTS:
+        parsed = parsed.when(trimmed.rlike(shape), F.try_to_timestamp(trimmed, F.lit(layout)))
+    parsed = parsed.when(trimmed.rlike(ISO_SHAPE), trimmed.try_cast("timestamp"))
     if not strict:
         return parsed
     failed = F.raise_error(F.concat(F.lit("Unsupported timestamp format: "), text)).cast("timestamp")
     return F.when(text.isNull() | parsed.isNotNull(), parsed).otherwise(failed)
 
 
-def epoch_minutes(ts: Column) -> Column:
-    """Whole minutes since the epoch with sub-minute precision kept as a fraction of micros."""
-    return F.unix_micros(ts) / F.lit(60_000_000)
-
-
 def minutes_between(later: Column, earlier: Column) -> Column:
     """Whole minutes from ``earlier`` to ``later``, rounded down."""
     return F.floor((F.unix_micros(later) - F.unix_micros(earlier)) / F.lit(60_000_000))
