@@ -415,8 +415,8 @@ def lag_features(spark, folder):
 
 @query(
     "WIN5",
-    ctes("series") + "SELECT source, time, array_to_string(list_transform(x[1:12], v -> CAST(CAST(round(v * 100) AS BIGINT) AS VARCHAR)), ',') AS inputs, "
-    "array_to_string(list_transform(x[13:16], v -> CAST(CAST(round(v * 100) AS BIGINT) AS VARCHAR)), ',') AS targets FROM ("
+    ctes("series") + "SELECT source, time, array_to_string([CAST(CAST(round(v * 100) AS BIGINT) AS VARCHAR) for v in x[1:12]], ',') AS inputs, "
+    "array_to_string([CAST(CAST(round(v * 100) AS BIGINT) AS VARCHAR) for v in x[13:16]], ',') AS targets FROM ("
     "SELECT source, time, pos, list(kwh) OVER (PARTITION BY source ORDER BY time ROWS BETWEEN 15 PRECEDING AND CURRENT ROW) AS x FROM series) WHERE pos >= 15",
 )
 def sequence_windows(spark, folder):
@@ -749,9 +749,9 @@ SEASONAL_ON_INJECTED = (
 
 @query(
     "SCO8 TOP5",
-    ctes("flagged injected cad") + ", " + SEASONAL_ON_INJECTED + ", both AS (SELECT 'forecast_residual_mad' AS detector, truth, pred FROM flagged UNION ALL "
+    ctes("flagged injected cad") + ", " + SEASONAL_ON_INJECTED + ", pair AS (SELECT 'forecast_residual_mad' AS detector, truth, pred FROM flagged UNION ALL "
     "SELECT 'seasonal_residual_mad', f.truth, i.pred FROM flagged f JOIN iflags i USING (source, time)), t AS ("
-    + rates("detector, tp, fp, fn", f"(SELECT detector, {CONFUSION} FROM both GROUP BY 1)")
+    + rates("detector, tp, fp, fn", f"(SELECT detector, {CONFUSION} FROM pair GROUP BY 1)")
     + ") SELECT * FROM t ORDER BY f1 DESC, recall DESC, precision DESC, detector DESC LIMIT 1",
 )
 def best_detector(spark, folder):

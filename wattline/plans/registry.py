@@ -86,20 +86,20 @@ CTES = {
     "points": """
         SELECT source, time, pos, n, round(k5, 8) AS kwh, hit, l5 AS label FROM (
           SELECT *, CASE WHEN d4 IS NULL THEN k4 WHEN d4 THEN greatest(0, k4 - 0.85 * k4) ELSE k4 + 10.0 * std END AS k5,
-                 CASE WHEN d4 IS NULL THEN l4 ELSE list_distinct(list_append(l4, CASE WHEN d4 THEN 'point_drop' ELSE 'point_spike' END)) END AS l5 FROM (
+                 CASE WHEN d4 IS NULL THEN l4 ELSE CASE WHEN list_contains(l4, CASE WHEN d4 THEN 'point_drop' ELSE 'point_spike' END) THEN l4 ELSE list_append(l4, CASE WHEN d4 THEN 'point_drop' ELSE 'point_spike' END) END END AS l5 FROM (
           SELECT *, CASE WHEN d3 IS NULL THEN k3 WHEN d3 THEN greatest(0, k3 - 0.85 * k3) ELSE k3 + 10.0 * std END AS k4,
-                 CASE WHEN d3 IS NULL THEN l3 ELSE list_distinct(list_append(l3, CASE WHEN d3 THEN 'point_drop' ELSE 'point_spike' END)) END AS l4 FROM (
+                 CASE WHEN d3 IS NULL THEN l3 ELSE CASE WHEN list_contains(l3, CASE WHEN d3 THEN 'point_drop' ELSE 'point_spike' END) THEN l3 ELSE list_append(l3, CASE WHEN d3 THEN 'point_drop' ELSE 'point_spike' END) END END AS l4 FROM (
           SELECT *, CASE WHEN d2 IS NULL THEN k2 WHEN d2 THEN greatest(0, k2 - 0.85 * k2) ELSE k2 + 10.0 * std END AS k3,
-                 CASE WHEN d2 IS NULL THEN l2 ELSE list_distinct(list_append(l2, CASE WHEN d2 THEN 'point_drop' ELSE 'point_spike' END)) END AS l3 FROM (
+                 CASE WHEN d2 IS NULL THEN l2 ELSE CASE WHEN list_contains(l2, CASE WHEN d2 THEN 'point_drop' ELSE 'point_spike' END) THEN l2 ELSE list_append(l2, CASE WHEN d2 THEN 'point_drop' ELSE 'point_spike' END) END END AS l3 FROM (
           SELECT *, CASE WHEN d1 IS NULL THEN k1 WHEN d1 THEN greatest(0, k1 - 0.85 * k1) ELSE k1 + 10.0 * std END AS k2,
-                 CASE WHEN d1 IS NULL THEN l1 ELSE list_distinct(list_append(l1, CASE WHEN d1 THEN 'point_drop' ELSE 'point_spike' END)) END AS l2 FROM (
+                 CASE WHEN d1 IS NULL THEN l1 ELSE CASE WHEN list_contains(l1, CASE WHEN d1 THEN 'point_drop' ELSE 'point_spike' END) THEN l1 ELSE list_append(l1, CASE WHEN d1 THEN 'point_drop' ELSE 'point_spike' END) END END AS l2 FROM (
           SELECT *, CASE WHEN d0 IS NULL THEN kwh WHEN d0 THEN greatest(0, kwh - 0.85 * kwh) ELSE kwh + 10.0 * std END AS k1,
                  CASE WHEN d0 IS NULL THEN CAST([] AS VARCHAR[]) ELSE [CASE WHEN d0 THEN 'point_drop' ELSE 'point_spike' END] END AS l1,
                  coalesce(d0, d1, d2, d3, d4) IS NOT NULL AS hit
           FROM (SELECT s.*, p.std, p.d0, p.d1, p.d2, p.d3, p.d4 FROM series s LEFT JOIN (
             SELECT source, pos, max(std) AS std, bool_or(is_drop) FILTER (WHERE d = 0) AS d0, bool_or(is_drop) FILTER (WHERE d = 1) AS d1,
                    bool_or(is_drop) FILTER (WHERE d = 2) AS d2, bool_or(is_drop) FILTER (WHERE d = 3) AS d3,
-                   bool_or(is_drop) FILTER (WHERE d = 4) AS d4 FROM draws GROUP BY source, pos) p USING (source, pos))))))))""",
+                   bool_or(is_drop) FILTER (WHERE d = 4) AS d4 FROM draws GROUP BY source, pos) p USING (source, pos)))))))""",
     "slots": """
         SELECT source, CAST(time AS DATE) AS day, hour(time) >= 14 AS late, (hour(time) - 2) % 12 AS slot, pos, kwh
         FROM points WHERE hour(time) BETWEEN 2 AND 7 OR hour(time) BETWEEN 14 AND 19""",
@@ -139,10 +139,10 @@ CTES = {
         SELECT *, coalesce(z > 4.0 AND deviation >= 0.12, false) AS pred FROM scored""",
     "levels": "SELECT unnest(range(46)) AS k",
     "swept": """
-        SELECT round(0.5 + 0.1 * k, 1) AS mad_multiplier,
+        SELECT CAST(round(0.5 + 0.1 * k, 1) AS DOUBLE) AS mad_multiplier,
                count(*) FILTER (WHERE truth AND hit) AS tp, count(*) FILTER (WHERE NOT truth AND hit) AS fp,
                count(*) FILTER (WHERE truth AND NOT hit) AS fn, count(*) FILTER (WHERE NOT truth AND NOT hit) AS tn
-        FROM (SELECT k, truth, coalesce(z > round(0.5 + 0.1 * k, 1) AND deviation >= 0.12, false) AS hit FROM scored, levels)
+        FROM (SELECT k, truth, coalesce(z > CAST(round(0.5 + 0.1 * k, 1) AS DOUBLE) AND deviation >= 0.12, false) AS hit FROM scored, levels)
         GROUP BY k""",
     "truns": """
         SELECT source, min(pos) AS s, max(pos) AS e, string_agg(DISTINCT label, '+' ORDER BY label) AS type FROM (
@@ -157,7 +157,7 @@ CTES = {
         SELECT t.source, t.s, t.e, t.type, count(f.pos) AS flags, min(f.pos) FILTER (WHERE f.pos >= t.s) AS first_after,
                min(f.pos) AS first_any, count(f.pos) >= CASE WHEN t.type LIKE 'point_%' THEN 1 ELSE 5 END AS detected
         FROM truns t LEFT JOIN (SELECT source, pos FROM flagged WHERE pred) f
-          ON f.source = t.source AND f.pos BETWEEN t.s - 2 AND t.e + 2 GROUP BY ALL""",
+          ON f.source = t.source AND f.pos BETWEEN t.s - 2 AND t.e + 2 GROUP BY t.source, t.s, t.e, t.type""",
     "customers": """
         SELECT 'CUST_' || c_custkey AS meter_id, c_mktsegment AS profile, n_name AS location
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
