@@ -78,6 +78,7 @@ def residual_zscore(
     threshold: float = 3.0,
     rows: int = 96,
     history: bool = False,
+    calendar_bound: bool = False,
     block: int = SERIES_BLOCK,
 ) -> DataFrame:
     """Residuals far above their rolling deviation, as anomaly events.
@@ -88,7 +89,7 @@ def residual_zscore(
     bound = F.lit(True) if lo is None else F.col("time") >= F.lit(lo).cast("timestamp")
     joined = actual_vs_forecast(readings if history else readings.filter(bound), predictions)
     order = ("time", "kwh_actual", "kwh_expected")
-    scored = rolling_std(index_series(joined, "meter_id", order), "meter_id", "residual", rows, block)
+    scored = rolling_std(index_series(joined, "meter_id", order, calendar_bound), "meter_id", "residual", rows, block)
     scored = scored.withColumn("z_score", F.col("residual") / (F.col("rolling_std") + F.lit(1e-8)))
     if history:
         scored = scored.filter(bound)

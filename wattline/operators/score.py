@@ -17,6 +17,7 @@ from wattline.operators.series import (
     SERIES_BLOCK,
     block_of,
     cadence,
+    index_series,
     next_positions,
     prefix_sums,
     rolling,
@@ -284,19 +285,16 @@ def overall(scores: DataFrame, by: str | Sequence[str] = ()) -> DataFrame:
     return with_rates(scores.groupBy(*_names(by)).agg(*[F.sum(c).alias(c) for c in present]))
 
 
-def align(truth: DataFrame, pred: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Truth and prediction rows side by side by key and place; differing row counts raise.
-
-    Rows sharing a key are numbered among themselves, so copies pair up one to one.
-    """
-    def numbered(df: DataFrame, value: str) -> DataFrame:
-        place = Window.partitionBy(*keys).orderBy(value)
-        return df.select(*keys, value, F.row_number().over(place).alias("_place"))
-
-    joined = numbered(truth, "truth").join(numbered(pred, "pred"), [*keys, "_place"], "full")
+def align(
+    truth: DataFrame, pred: DataFrame, group: str, order: Sequence[str] = ("time", "meter_id"), calendar_bound: bool = False
+) -> DataFrame:
+    """Truth and prediction side by side by place in the ordered group; groups of different length raise."""
+    left = index_series(truth, group, order, calendar_bound).select(group, "pos", *order, "truth")
+    right = index_series(pred, group, order, calendar_bound).select(group, "pos", "pred")
+    joined = left.join(right, [group, "pos"], "full")
     mismatch = F.raise_error(F.lit("Prediction length mismatch")).cast("boolean")
-    checked = {name: F.when(F.col("truth").isNull() | F.col("pred").isNull(), mismatch).otherwise(F.col(name)) for name in ("truth", "pred")}
-    return joined.withColumns(checked).drop("_place")
+    unpaired = F.col("truth").isNull() | F.col("pred").isNull()
+    return joined.withColumns({name: F.when(unpaired, mismatch).otherwise(F.col(name)) for name in ("truth", "pred")})
 
 
 def evaluate(

@@ -81,9 +81,7 @@ def normalize_long_csv(spark, folder):
 )
 def unpivot_city(spark, folder):
     hourly = R.resample(I.readings(spark, folder), 60, ["source"])
-    zones = ["click", "error", "purchase", "signup", "view"]
-    found = [row[0] for row in hourly.select("source").distinct().orderBy("source").limit(100).collect()]
-    zones = found or zones
+    zones = [row[0] for row in hourly.select("source").distinct().orderBy("source").collect()]
     sheet = hourly.groupBy(F.col("time").alias("DateTime")).pivot("source", zones).agg(F.first("kwh"))
     out = feeds.unpivot_city(sheet, "laayoune_10t", feeds.city_unit("laayoune_10t"))
     return out.withColumn("kwh", r("kwh", 6))

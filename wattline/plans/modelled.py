@@ -58,7 +58,7 @@ ZSCORE = (
 )
 def residual_zscore(spark, folder):
     series = I.meter_series(spark, folder)
-    out = D.residual_zscore(series.drop("pos", "n"), I.meter_predictions(series), datetime(2024, 1, 10))
+    out = D.residual_zscore(series.drop("pos", "n"), I.meter_predictions(series), datetime(2024, 1, 10), calendar_bound=True)
     return rounded(rounded(out, "deviation"), "z_score", digits=4)
 
 
@@ -68,7 +68,7 @@ def residual_zscore(spark, folder):
 )
 def residual_zscore_history(spark, folder):
     series = I.meter_series(spark, folder)
-    out = D.residual_zscore(series.drop("pos", "n"), I.meter_predictions(series), datetime(2024, 1, 10), history=True)
+    out = D.residual_zscore(series.drop("pos", "n"), I.meter_predictions(series), datetime(2024, 1, 10), history=True, calendar_bound=True)
     return rounded(rounded(out, "deviation"), "z_score", digits=4)
 
 
@@ -117,7 +117,8 @@ def first_source(spark, folder):
 def align_flags(spark, folder):
     flags = _flags(spark, folder)
     truth = flags.select("source", "time", "truth")
-    return SC.align(truth, flags.select("source", "time", "pred"), ["source", "time"])
+    out = SC.align(truth, flags.select("source", "time", "pred"), "source", ("time",), calendar_bound=True)
+    return out.select("source", "time", "truth", "pred")
 
 
 # ---- star schema ---------------------------------------------------------------------------------------
@@ -783,9 +784,9 @@ def detector_league(spark, folder):
         scored = settled(scored.filter("covered").withColumn("truth", F.col("is_anomaly")), "scored")
         best = SC.best_operating_point(SC.sweep(scored), 0.60).first()
         flagged = scored.withColumn("pred", D.exceeds(best["mad_multiplier"], 0.12))
-        tables = SC.evaluate(flagged, "source")
         label = F.lit(f"forecast_residual_mad__{name}")
-        row, event = tables["rows_overall"].withColumn("detector", label), tables["events_overall"].withColumn("detector", label)
+        row = SC.confusion(flagged).withColumn("detector", label)
+        event = SC.overall(SC.event_scores(flagged, "source")).withColumn("detector", label)
         rows = row if rows is None else rows.unionByName(row)
         events = event if events is None else events.unionByName(event)
     return SC.rank_detectors(rows, events)

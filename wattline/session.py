@@ -17,6 +17,10 @@ def build_session(app: str = "wattline", master: str | None = None, **conf: obje
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Streaming state on local disk instead of the executor heap.
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
     }
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     for key, value in settings.items():

@@ -25,14 +25,6 @@ from wattline.sources.readings import readings_from_messages
 DEDUP_DELAY = "1 day"
 
 
-def use_disk_state(spark: SparkSession) -> None:
-    """Keep streaming state in RocksDB, so its size is not bound by executor heap."""
-    spark.conf.set(
-        "spark.sql.streaming.stateStore.providerClass",
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    )
-
-
 def _start(writer, available_now: bool) -> StreamingQuery:
     query = writer.trigger(availableNow=True).start() if available_now else writer.start()
     if available_now:
