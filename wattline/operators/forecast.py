@@ -21,7 +21,7 @@ from wattline.operators.blockwise import as_matrix, merge_statistics, per_row, s
 from wattline.operators.score import wape
 from wattline.operators.series import SERIES_BLOCK, block_of, cadence, prefix_sums, shifted, with_context
 from wattline.operators.windows import fourier_terms
-from wattline.session import settled
+from wattline.session import settled, sized
 
 NAIVE = "seasonal_naive"
 FALLBACK = "seasonal_naive_fallback"
@@ -215,7 +215,7 @@ def solve_regression(products: np.ndarray, ridge: float) -> tuple:
 
 def _fit_folds(df: DataFrame, plan: DataFrame, group: str, design: Column, ridge: float, block: int) -> DataFrame:
     """Coefficients per group and fold: rows are summed once per stretch between cutoffs, folds add stretches."""
-    ends = plan.groupBy(group).agg(F.array_sort(F.collect_list("cutoff")).alias("_ends"))
+    ends = sized(plan.groupBy(group).agg(F.array_sort(F.collect_list("cutoff")).alias("_ends")))
     rows = df.join(ends, group).withColumn("z", F.array_append(design, F.col("kwh")))
     stretch = F.size(F.filter("_ends", lambda e: e <= F.col("pos")))
     rows = rows.withColumn("stretch", stretch).filter(F.col("stretch") < F.size("_ends"))
@@ -224,7 +224,7 @@ def _fit_folds(df: DataFrame, plan: DataFrame, group: str, design: Column, ridge
     upto = sums.join(plan.select(group, "fold"), group).filter(F.col("stretch") < F.col("fold"))
     upto = upto.groupBy(group, "fold", "i").agg(F.sum("v").alias("v"))
     columns = {"beta": T.ArrayType(T.DoubleType()), "sigma": T.DoubleType()}
-    return per_row(as_matrix(upto), columns, lambda m: solve_regression(m, ridge))
+    return sized(per_row(as_matrix(upto), columns, lambda m: solve_regression(m, ridge)))
 
 
 def _dot(x: Column, beta: Column) -> Column:
@@ -247,7 +247,7 @@ def seasonal_regression(
     Where no fit is possible the seasonal-naive value is given and ``model_type`` says so.
     """
     plan = fold_plan(df, group, horizon_hours, folds)
-    origin = df.groupBy(group).agg(F.min("time").alias("_origin"))
+    origin = sized(df.groupBy(group).agg(F.min("time").alias("_origin")))
     design = _design(F.col("time"), F.col("_origin"), daily_order, weekly_order)
     models = _fit_folds(df.join(origin, group), plan, group, design, ridge, block)
     targets = _naive_values(_with_actuals(fold_targets(plan), df, group), df, group)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wattline.functions.text import add_label
 from wattline.functions.time import minutes_between
 from wattline.operators.series import rolling
-from wattline.session import settled
+from wattline.session import settled, sized
 
 # Label names and the part of a value that a drop removes.
 POINT_DROP = "point_drop"
@@ -82,7 +82,7 @@ def inject_points(df: DataFrame, group: str, seed: int = 42, points: int = 5, sp
         ).otherwise(v + spike_k * d["std_kwh"]),
     )
     labels = F.aggregate("_plan", F.col("anomaly_type"), lambda old, d: add_label(old, d["kind"]))
-    out = df.join(plan, [group, "pos"], "left")
+    out = df.join(sized(plan), [group, "pos"], "left")
     return out.withColumns(
         {
             "kwh": F.when(hit, F.round(kwh, 8)).otherwise(F.col("kwh")),
@@ -100,7 +100,7 @@ def swap_plan(df: DataFrame, group: str, steps: int) -> DataFrame:
     base = df.groupBy(group).agg(F.max("n").alias("_size"))
     found = first_gap.groupBy(group).agg(F.min(F.struct("pos", "_gap"))["_gap"].alias("_found"))
     base = base.join(found, group, "left").withColumn("_step", F.coalesce("_found", F.lit(30).cast("long")) * 60)
-    base = base.filter(F.col("_size") >= steps * 3).select(group, "_step")
+    base = sized(base.filter(F.col("_size") >= steps * 3).select(group, "_step"))
 
     # Days of a group in order: the calendar bounds this window.
     days = df.select(group, F.to_date("time").alias("day")).distinct()
@@ -136,7 +136,7 @@ def swap_plan(df: DataFrame, group: str, steps: int) -> DataFrame:
 def inject_swap(df: DataFrame, group: str, steps: int = 6) -> DataFrame:
     """Exchange the values of the segments starting at 02:00 and 14:00 on one day."""
     hit = F.col("new_kwh").isNotNull()
-    out = df.join(swap_plan(df, group, steps), [group, "pos"], "left")
+    out = df.join(sized(swap_plan(df, group, steps)), [group, "pos"], "left")
     return out.withColumns(
         {
             "kwh": F.coalesce("new_kwh", "kwh"),
@@ -148,7 +148,7 @@ def inject_swap(df: DataFrame, group: str, steps: int = 6) -> DataFrame:
 
 def inject_drift(df: DataFrame, group: str, steps: int = 6, percent: float = 0.5) -> DataFrame:
     """Linear rise over the last ``steps`` rows up to ``percent`` of the group mean."""
-    stats = _group_stats(df, group).select(group, "mean_kwh")
+    stats = sized(_group_stats(df, group).select(group, "mean_kwh"))
     step = F.col("pos") - (F.col("n") - steps) + 1
     hit = (F.col("n") >= 2 * steps) & (step >= 1)
     raised = F.round(F.col("kwh") + F.col("mean_kwh") * percent * (step / steps), 8)

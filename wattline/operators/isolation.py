@@ -17,7 +17,7 @@ from wattline.operators.blockwise import score_blocks
 from wattline.operators.detect import DetectorConfig
 from wattline.operators.quantiles import exact_quantiles
 from wattline.operators.series import SERIES_BLOCK, with_context
-from wattline.session import settled
+from wattline.session import settled, sized
 
 TREES = 100
 TREE_SAMPLE = 256
@@ -116,7 +116,7 @@ def isolation_flags(
     """``flag`` on the most isolated share of each group with enough rows; nothing in shorter groups."""
     long_enough = df.filter(F.col("n") >= cfg.min_rows_isolation)
     scores = settled(isolation_scores(long_enough, group, value, seed, block), "isolation")
-    cut = exact_quantiles(scores, group, "score", {"cut": 1.0 - cfg.contamination}).drop("n_values")
+    cut = sized(exact_quantiles(scores, group, "score", {"cut": 1.0 - cfg.contamination}).drop("n_values"))
     flagged = scores.join(cut, group).select(group, "pos", (F.col("score") > F.col("cut")).alias("flag"), "score")
     out = df.join(flagged, [group, "pos"], "left")
     return out.withColumn("flag", F.coalesce("flag", F.lit(False)))

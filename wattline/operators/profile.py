@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from wattline.functions.time import minutes_between
 from wattline.operators.quantiles import exact_quantiles
+from wattline.session import sized
 
 
 def iqr_spikes(df: DataFrame, by: str = "meter_id") -> DataFrame:
     """Readings with a ``candidate_spike`` flag: above the third quartile plus three quartile ranges."""
-    quartiles = exact_quantiles(df, by, "kwh", {"q1": 0.25, "q3": 0.75}).drop("n_values")
+    quartiles = sized(exact_quantiles(df, by, "kwh", {"q1": 0.25, "q3": 0.75}).drop("n_values"))
     limit = F.col("q3") + 3 * (F.col("q3") - F.col("q1"))
     return df.join(quartiles, by).withColumn("candidate_spike", F.col("kwh") > limit).drop("q1", "q3")
 
@@ -78,7 +79,7 @@ def histogram(df: DataFrame, bins: int = 80) -> DataFrame:
 
 def box_stats(df: DataFrame, by: str = "source") -> DataFrame:
     """Quartiles and whiskers (farthest values within 1.5 quartile ranges) per group."""
-    quartiles = exact_quantiles(df, by, "kwh", {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    quartiles = sized(exact_quantiles(df, by, "kwh", {"q1": 0.25, "median": 0.5, "q3": 0.75}))
     reach = (F.col("q3") - F.col("q1")) * 1.5
     value = F.col("kwh")
     inside = (value >= F.col("q1") - reach) & (value <= F.col("q3") + reach)
@@ -130,12 +131,16 @@ def conversion_factors(df: DataFrame, period_hours: float) -> DataFrame:
         (known("consumption_kwh") / period_hours / amperes).alias("implied"),
         (volts * amperes * factor / 1000.0 / amperes).alias("electrical"),
     )
-
-    def medians(by: list[str]) -> DataFrame:
-        implied = exact_quantiles(valid, by, "implied", {"median_implied": 0.5})
-        electrical = exact_quantiles(valid, by, "electrical", {"median_electrical": 0.5}).drop("n_values")
-        if by:
-            return implied.join(electrical, by)
-        return implied.select(F.lit(None).cast("string").alias("disco"), "n_values", "median_implied", electrical.scalar().alias("median_electrical"))
-
-    return medians([]).unionByName(medians(["disco"])).withColumnRenamed("n_values", "n")
+    # Both factors in one long column, so each level needs one pass of quantiles.
+    long = valid.unpivot(["disco"], ["implied", "electrical"], "factor", "value")
+
+    def medians(keys: list[str]) -> DataFrame:
+        found = exact_quantiles(long, [*keys, "factor"], "value", {"middle": 0.5})
+        disco = F.col("disco") if keys else F.lit(None).cast("string")
+        return found.groupBy(disco.alias("disco")).agg(
+            F.max("n_values").alias("n"),
+            F.max(F.when(F.col("factor") == "implied", F.col("middle"))).alias("median_implied"),
+            F.max(F.when(F.col("factor") == "electrical", F.col("middle"))).alias("median_electrical"),
+        )
+
+    return medians([]).unionByName(medians(["disco"]))

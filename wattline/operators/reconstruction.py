@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from wattline.operators.blockwise import as_matrix, per_row, score_blocks, sliding, summed_products
 from wattline.operators.quantiles import median_mad
 from wattline.operators.series import SERIES_BLOCK, with_context
-from wattline.session import settled
+from wattline.session import settled, sized
 
 WINDOW = 48
 COMPONENTS = 6
@@ -75,6 +75,7 @@ def reconstruction_flags(
     """
     scale = clean.groupBy(group).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std"))
     scale = scale.withColumn("_std", F.when(F.col("_std") == 0, F.lit(1.0)).otherwise(F.col("_std")))
+    scale = sized(scale)
     back = window - 1
     clean_rows = with_context(_normalised(clean, scale, group, value), back, block)
     models = settled(fit_components(clean_rows, group, window, components), "components")
@@ -82,7 +83,7 @@ def reconstruction_flags(
     train = settled(window_errors(clean_rows, models, group, window, block).filter(full), "errors")
     limits = median_mad(train, group, "score")
     limit = F.col("median") + multiplier * F.greatest("mad", F.lit(1e-9))
-    limits = limits.select(group, limit.alias("threshold"), F.col("n_values").alias("train_windows"))
+    limits = sized(limits.select(group, limit.alias("threshold"), F.col("n_values").alias("train_windows")))
     rows = with_context(_normalised(injected, scale, group, value), back, block)
     scored = window_errors(rows, models, group, window, block).join(limits, group)
     return injected.join(scored, [group, "pos"]).withColumn("flag", full & (F.col("score") > F.col("threshold")))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wattline.functions.time import minutes_between
-from wattline.session import settled
+from wattline.session import settled, sized
 
 SERIES_BLOCK = 65_536
 
@@ -72,7 +72,7 @@ def _range_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
         {"_base": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "n": F.sum("_rows").over(whole)}
     )
     return (
-        placed.join(chunks.drop("_rows"), [*keys, "_part"])
+        placed.join(sized(chunks.drop("_rows")), [*keys, "_part"])
         .withColumn("pos", F.col("_base") + F.col("_row") - F.col("_first"))
         .drop("_row", "_part", "_first", "_base")
     )

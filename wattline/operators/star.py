@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.time import date_key, day_of_week, is_weekend, season
 from wattline.operators.series import global_index
+from wattline.session import settled
 from wattline.sinks.tables import first_per_key
 
 UNKNOWN_SOURCE = "unknown"
@@ -34,7 +35,8 @@ def resolve_keys(dim: DataFrame | None, members: DataFrame, natural: Sequence[st
         start = dim.agg(F.max(key)).first()[0] or 0
     keyed = global_index(fresh, natural, "_idx").withColumn(key, (F.col("_idx") + 1 + start).cast("int")).drop("_idx")
     keyed = keyed.select(key, *natural, *rest)
-    return keyed if dim is None else dim.unionByName(keyed, allowMissingColumns=True)
+    # A stored dimension has a known size, by which its joins are planned.
+    return settled(keyed if dim is None else dim.unionByName(keyed, allowMissingColumns=True), "dimension")
 
 
 def dim_source(readings: DataFrame, dim: DataFrame | None = None) -> DataFrame:
@@ -236,7 +238,7 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, tracked: Sequence[str], as_of
         .withColumn("valid_to", F.lit(None).cast("timestamp"))
         .withColumn("is_current", F.lit(True))
     )
-    return closed.select(*dim.columns).unionByName(opened.drop("_idx"), allowMissingColumns=True)
+    return settled(closed.select(*dim.columns).unionByName(opened.drop("_idx"), allowMissingColumns=True), "dimension")
 
 
 def scd2_history(versions: DataFrame, key: str = "meter_key") -> DataFrame:
@@ -245,9 +247,8 @@ def scd2_history(versions: DataFrame, key: str = "meter_key") -> DataFrame:
     closed = versions.withColumn("valid_to", F.lead("valid_from").over(by_member)).withColumn(
         "is_current", F.col("valid_to").isNull()
     )
-    return global_index(closed, ["meter_id", "valid_from"], "_idx").withColumn(
-        key, (F.col("_idx") + 1).cast("int")
-    ).drop("_idx")
+    indexed = global_index(closed, ["meter_id", "valid_from"], "_idx")
+    return settled(indexed.withColumn(key, (F.col("_idx") + 1).cast("int")).drop("_idx"), "dimension")
 
 
 def as_of_join(facts: DataFrame, dim: DataFrame, columns: Sequence[str], time: str = "time") -> DataFrame:

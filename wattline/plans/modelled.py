@@ -170,7 +170,7 @@ def fact_reading_hourly(spark, folder):
 )
 def meter_dimension(spark, folder):
     _, star = _star(spark, folder)
-    dim = settled(star["dim_meter"], "dim_meter")
+    dim = star["dim_meter"]
     size = dim.agg(F.count(F.lit(1)), F.count_distinct("meter_key")).first()
     named = dim.join(star["dim_source"].select("source_key", "source_code"), "source_key", "left")
     in_range = F.col("meter_key").between(1, size[0]) & F.lit(size[0] == size[1])
@@ -184,7 +184,7 @@ def meter_dimension(spark, folder):
 def resolve_source_keys(spark, folder):
     """Sources of a first load keep their keys when the others arrive."""
     base = I.readings(spark, folder)
-    first = settled(ST.dim_source(base.filter(F.col("source").isin("click", "view"))), "dim_source")
+    first = ST.dim_source(base.filter(F.col("source").isin("click", "view")))
     both = ST.dim_source(base, first)
     return both.select("source_code", (F.col("source_key") <= 2).alias("old_key"))
 
@@ -211,7 +211,7 @@ def _meter_history(spark, folder):
         "c_acctbal",
     )
     first = base.filter("profile <> 'BUILDING'").select("meter_id", F.lit(datetime(1992, 1, 1)).alias("valid_from"), "profile")
-    dim = settled(ST.scd2_history(first), "history")
+    dim = ST.scd2_history(first)
     watched = F.when(F.col("c_acctbal") < 2000, "WATCH").otherwise(F.col("profile"))
     updates = base.select("meter_id", watched.alias("profile"))
     return ST.scd2_merge(dim, updates, ["profile"], F.lit(datetime(1998, 1, 1)).cast("timestamp"))
@@ -265,7 +265,7 @@ def legacy_predictions(spark, folder):
 def legacy_events(spark, folder):
     base = I.readings(spark, folder)
     events = K.events_from_flags(base.withColumn("source", F.lit(None).cast("string")))
-    meters = settled(ST.dim_meter(base.select("meter_id").distinct(), base, ST.dim_source(base)), "dim_meter")
+    meters = ST.dim_meter(base.select("meter_id").distinct(), base, ST.dim_source(base))
     return rounded(ST.legacy_events(ST.build_fact_events(events, meters), meters), "kwh_expected", "deviation")
 
 

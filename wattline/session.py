@@ -49,6 +49,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/wattline-{app}/{name}-{uuid.uuid4().hex}"
 
 
+def sized(df: DataFrame) -> DataFrame:
+    """Settle a per-group or per-chunk table before joining it to the rows it came from.
+
+    Its size on disk is then known when the join is planned: Spark broadcasts it if it is below the
+    broadcast threshold, which spares the shuffle of the large side, and otherwise joins by key.
+    """
+    return settled(df, "stats")
+
+
 def settled(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as parquet to the shared folder and read it back.
 
