@@ -142,3 +142,60 @@ def test_reconstruction_blocks_agree(series, injected):
     assert a.filter("flag AND pos < 47").count() == 0
     quality = SC.confusion(a.withColumn("truth", F.col("is_anomaly")).withColumn("pred", F.col("flag"))).first()
     assert quality["f1"] > 0.1933  # published for the sequence detector
+
+
+def _fourier(times, origin):
+    seconds = np.array([(t - datetime(1970, 1, 1)).total_seconds() for t in times])
+    columns = [np.ones(len(times)), (seconds - (origin - datetime(1970, 1, 1)).total_seconds()) / (30 * 86400.0)]
+    for period, order in ((1, 4), (7, 3)):
+        for k in range(1, order + 1):
+            angle = seconds / 86400.0 * 2 * np.pi * k / period
+            columns += [np.sin(angle), np.cos(angle)]
+    return np.stack(columns, axis=1)
+
+
+def test_regression_equals_least_squares(series):
+    rows = [r for r in demo.rows() if r[4] == "uci_household_power"]
+    times, values = [r[0] for r in rows], np.array([r[2] for r in rows])
+    got = FC.seasonal_regression(series.filter("source = 'uci_household_power'"), "source", folds=1, ridge=0.0)
+    got = [r["forecast"] for r in got.orderBy("horizon_step").collect()]
+    beta, *_ = np.linalg.lstsq(_fourier(times[:960], times[0]), values[:960], rcond=None)
+    assert np.allclose(got, _fourier(times[960:], times[0]) @ beta, atol=1e-7)
+
+
+def test_reconstruction_equals_plain_components(series):
+    from wattline.operators.blockwise import sliding
+
+    values = np.array([r[2] for r in demo.rows() if r[4] == "london_smart_meters"])
+    z = (values - values.mean()) / values.std()
+    x = sliding(z, 48)
+    centred = x - x.mean(axis=0)
+    _, _, vt = np.linalg.svd(centred, full_matrices=False)
+    errors = np.abs(centred - centred @ vt[:6].T @ vt[:6]).mean(axis=1)
+    one = series.filter("source = 'london_smart_meters'")
+    out = reconstruction_flags(one, one, "source", block=300).orderBy("pos").collect()
+    assert np.allclose([r["score"] for r in out[47:]], errors, atol=1e-6)
+    centre = np.median(errors)
+    assert out[0]["threshold"] == pytest.approx(centre + 4 * np.median(np.abs(errors - centre)), abs=1e-6)
+
+
+def test_sequence_model_equals_least_squares(series):
+    from wattline.operators.blockwise import sliding
+
+    one = series.filter("source = 'nigeria_smart_meter'")
+    values = np.array([r[2] for r in demo.rows() if r[4] == "nigeria_smart_meter"])
+    x = sliding(values, 28)
+    design = np.hstack([np.ones((len(x), 1)), x[:, :24]])
+    model = FC.sequence_model(FC.sequence_statistics(one, "source", 24, 4, block=200), 24, 4, ridge=0.0).first()
+    weights, *_ = np.linalg.lstsq(design, x[:, 24:], rcond=None)
+    fitted = design @ np.array(model["weights"]).reshape(4, 25).T
+    assert np.allclose(fitted, design @ weights, atol=1e-4)
+
+
+def test_isolation_scores_do_not_depend_on_blocks(series):
+    from wattline.operators.isolation import isolation_scores
+
+    a = isolation_scores(series, "source")
+    b = isolation_scores(series, "source", block=77).withColumnRenamed("score", "other")
+    both = a.join(b, ["source", "pos"])
+    assert both.count() == 4032 and both.filter("abs(score - other) > 1e-12").count() == 0

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +13,9 @@ from wattline.sinks.tables import replace_slice, time_chunk
 
 # Refresh window and lag of each maintained rollup.
 REFRESH_POLICIES = {
-    "15 minutes": ("1 day", "15 minutes"),
-    "1 hour": ("3 hours", "1 hour"),
-    "1 day": ("7 days", "1 day"),
+    "15 minutes": (timedelta(days=1), timedelta(minutes=15)),
+    "1 hour": (timedelta(hours=3), timedelta(hours=1)),
+    "1 day": (timedelta(days=7), timedelta(days=1)),
 }
 
 
@@ -83,11 +83,12 @@ def refresh_rollup(
     return replace_slice(existing, fresh, covered(F.col("bucket")))
 
 
-def policy_window(width: str, now: datetime) -> tuple[Column, Column]:
-    """Refresh bounds of a rollup at ``now``."""
+def scheduled_refresh(
+    existing: DataFrame, raw: DataFrame, width: str, now: datetime, keys: Sequence[str] = ("meter_id",)
+) -> DataFrame:
+    """Refresh of a rollup as its policy does at ``now``: the recent window, without the still open buckets."""
     start, end = REFRESH_POLICIES[width]
-    at = F.lit(now).cast("timestamp")
-    return at - F.expr(f"INTERVAL {start}"), at - F.expr(f"INTERVAL {end}")
+    return refresh_rollup(existing, raw, width, now - start, now - end, keys)
 
 
 def resample(df: DataFrame, minutes: int, keys: Sequence[str] = ("meter_id", "source")) -> DataFrame:

@@ -380,6 +380,19 @@ def refresh_rollup(spark, folder):
     return rounded_rollup(R.refresh_rollup(old, raw, "1 hour", LO, hi))
 
 
+@query(
+    "AGG19",
+    ctes("readings") + "SELECT bucket, meter_id, CASE WHEN bucket >= TIMESTAMP '2024-01-18 12:00:00' AND bucket + INTERVAL 1 DAY <= TIMESTAMP '2024-01-24 12:00:00' "
+    "THEN round(sum(kwh), 4) ELSE -1 END AS kwh_total, max(kwh) AS kwh_peak, count(*) FILTER (WHERE is_anomaly) AS anomaly_count "
+    "FROM (SELECT date_trunc('day', time)::TIMESTAMP AS bucket, * FROM readings) GROUP BY 1, 2",
+)
+def scheduled_refresh(spark, folder):
+    """A stale daily table after one policy run."""
+    raw = I.readings(spark, folder)
+    stale = R.rollup(raw, "1 day").withColumn("kwh_total", F.lit(-1.0))
+    return R.scheduled_refresh(stale, raw, "1 day", I.NOW).drop("kwh_avg").withColumn("kwh_total", r("kwh_total"))
+
+
 @query(
     "TOP1",
     ctes("readings") + "SELECT meter_id, round(sum(kwh), 4) AS total_kwh FROM readings "

@@ -601,6 +601,32 @@ def sequence_regression(spark, folder):
     return FC.sequence_regression(series, "source", 24, 4, merged)
 
 
+@query(
+    "FOR4",
+    ctes("forecasts") + "SELECT group_key, CAST(fold AS INTEGER) AS fold, CAST(horizon_step AS INTEGER) AS horizon_step, time, actual FROM forecasts",
+)
+def regression_targets(spark, folder):
+    """Folds, steps and actual values of the regression are those of the naive forecast."""
+    out = FC.seasonal_regression_tuned(I.source_series(spark, folder), "source")
+    return out.filter("lower <= forecast AND forecast <= upper").select("group_key", "fold", "horizon_step", "time", "actual")
+
+
+@query(
+    "DET7 DET6",
+    ctes("injected") + "SELECT source, count(*) AS rows, count(*) FILTER (WHERE pos >= 47) AS scored, true AS within_share FROM injected GROUP BY 1",
+)
+def detector_coverage(spark, folder):
+    """Rows seen by the reconstruction and the isolation detector, and the share the latter may flag."""
+    series = I.source_series(spark, folder)
+    injected = _injected(spark, folder)
+    rebuilt = reconstruction.reconstruction_flags(series, injected, "source")
+    isolated = isolation.isolation_flags(injected, "source").groupBy("source").agg(
+        (F.count_if("flag") <= 0.01 * F.count(F.lit(1)) + 1).alias("within_share")
+    )
+    counts = rebuilt.groupBy("source").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("score") > 0).alias("scored"))
+    return counts.join(isolated, "source")
+
+
 # ---- scoring -------------------------------------------------------------------------------------------
 
 

@@ -140,13 +140,14 @@ def normalize_interval_kwh(
 def series_lines(df: DataFrame, step_minutes: int, days_per_line: int = 1) -> DataFrame:
     """Inverse of :func:`normalize_series_lines`: text lines of regular series, one per meter and span of days.
 
-    Values are placed by their slot, so a line is bounded by the calendar; empty slots become ``?``.
+    Values are summed per slot, so a line is bounded by the calendar; empty slots become ``?``.
     """
     slots = days_per_line * 1440 // step_minutes
     span_seconds = days_per_line * 86_400
     start = F.timestamp_seconds(F.floor(F.unix_timestamp("time") / span_seconds) * span_seconds)
     offset = F.floor(minutes_between(F.col("time"), F.col("_start")) / step_minutes).cast("int")
     placed = df.withColumn("_start", start).withColumn("_slot", offset)
+    placed = placed.groupBy("meter_id", "_start", "_slot").agg(F.sum("kwh").alias("kwh"))
     lines = placed.groupBy("meter_id", "_start").agg(
         F.map_from_entries(F.collect_list(F.struct("_slot", F.col("kwh").cast("string")))).alias("_by_slot")
     )

@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wattline.operators.detect import residual_zscore
 from wattline.operators.rollups import REFRESH_POLICIES, rollup_columns
 from wattline.operators.series import global_index
-from wattline.operators.star import build_fact_readings, dim_source, resolve_keys, source_code
+from wattline.operators.star import build_fact_readings, resolve_keys, source_code
 from wattline.schema import READING_COLUMNS
 from wattline.sinks.tables import first_per_key
 from wattline.sources.readings import readings_from_messages
@@ -52,7 +52,7 @@ def stream_rollup(readings: DataFrame, width: str, watermark: str | None = None)
     In append mode a bucket appears once it can no longer change; rows later than the watermark are left to a
     batch refresh.
     """
-    delay = watermark or REFRESH_POLICIES[width][0]
+    delay = watermark or f"{int(REFRESH_POLICIES[width][0].total_seconds())} seconds"
     grouped = readings.withWatermark("time", delay).groupBy(F.window("time", width).alias("w"), "meter_id")
     columns = grouped.agg(*rollup_columns(width))
     return columns.withColumn("bucket", F.col("w.start")).drop("w")
