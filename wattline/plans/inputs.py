@@ -53,9 +53,9 @@ def with_copies(df: DataFrame) -> DataFrame:
 
 
 def readings_stream(spark: SparkSession, folder: str) -> DataFrame:
-    configure(spark)
-    files = spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet")
-    return as_readings(files.parquet(folder))
+    # As a pattern the path may be one file or a folder of files.
+    files = configure(spark).readStream.schema(EVENTS).parquet(f"{folder}/events.parque[t]")
+    return as_readings(files)
 
 
 def source_series(spark: SparkSession, folder: str) -> DataFrame:
