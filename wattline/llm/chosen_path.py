@@ -8,8 +8,9 @@ exhaustively; larger ones branch on, down to ``DEPTH`` levels. What is then stil
 
 Comparing takes two rounds, so that copies never make all their pairs. First every class of a node is compared with the
 node's smallest class; the links found give components. Then only classes of one node that are still in different
-components are compared, all of them, also in the large families: there each class outside the most frequent component
-meets the others. Every link is confirmed on the full shingle sets.
+components are compared, all of them, inside tasks that give back likely links only: small nodes by their minwise
+tokens, large families by counting common shingles, where blocks of the classes outside the most frequent component
+meet the node's other classes one by one. Every link is confirmed on the full shingle sets.
 
 Two classes at the threshold share a node of depth d with probability of at least threshold^d per tree; with the
 settings here and depth 2 a pair of similarity 0.85 is missed by all trees with a chance below 1e-5.
@@ -35,6 +36,8 @@ FIRST, DEPTH = 2, 7
 LEAF = 16
 #: Pairs whose minwise tokens agree less than this below the threshold are not confirmed: over 4.5 standard deviations.
 SKETCH = 0.22
+#: Classes of a large family that are held in a task at once.
+BLOCK = 512
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -213,8 +216,9 @@ def near_duplicates(
     links = settled(confirmed(stars, seen, k, percent), "links")
     roots = components(links)
 
-    rest = apart(found, roots).join(stars, ["a", "b"], "left_anti")
-    rest = settled(likely(rest, classes, threshold), "pairs")
+    small, large = apart(found.filter("n > 2"), roots, leaf)
+    rest = compared_small(small, classes, threshold).union(compared_large(large, texts, k, threshold)).distinct()
+    rest = settled(rest.join(stars, ["a", "b"], "left_anti"), "pairs")
     seen = texts.join(_ids(rest), "cid", "left_semi")
     more = settled(confirmed(rest, seen, k, percent), "links")
     # Rows of one id may lie in several classes: the id itself ties them together.
@@ -236,15 +240,130 @@ def _ids(pairs: DataFrame) -> DataFrame:
     return sized(pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct())
 
 
-def apart(found: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of one node that lie in different components: each class outside the node's most frequent
-    component with all others of the node."""
-    rows = found.filter("n > 2").select("key", "cid").join(roots, F.col("cid") == F.col("node"), "left")
-    rows = rows.select("key", "cid", F.coalesce("root", "cid").alias("root"))
-    parts = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = parts.groupBy("key").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    main = parts.join(main.select("key", "n"), ["key", "n"]).groupBy("key").agg(F.min("root").alias("main"))
-    mixed = settled(rows.join(main, "key"), "mixed")
-    minor = mixed.filter("root != main").select("key", F.col("cid").alias("x"), F.col("root").alias("root_x"))
-    pairs = mixed.join(minor, "key").filter("root != root_x")
-    return pairs.select(F.least("cid", "x").alias("a"), F.greatest("cid", "x").alias("b")).distinct()
+def apart(found: DataFrame, roots: DataFrame, leaf: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(key, cid, root)`` of small nodes, and ``(key, cid, root, minor, blocks)`` of large ones, whose classes lie
+    in several components. ``minor`` rows lie outside the most frequent component."""
+    rows = found.select("key", "cid", "n").join(roots, F.col("cid") == F.col("node"), "left")
+    rows = rows.select("key", "cid", "n", F.coalesce("root", "cid").alias("root"))
+    mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("key")
+    rows = settled(rows.join(mixed, "key"), "mixed")
+    wide = rows.filter(F.col("n") > leaf)
+    parts = wide.groupBy("key", "root").agg(F.count(F.lit(1)).alias("size"))
+    tops = parts.groupBy("key").agg(F.max("size").alias("size"), F.sum("size").alias("all"))
+    main = parts.join(tops, ["key", "size"]).groupBy("key").agg(F.min("root").alias("main"), F.first(F.col("all") - F.col("size")).alias("minors"))
+    large = wide.join(main, "key").select(
+        "key", "cid", "root", (F.col("root") != F.col("main")).alias("minor"), F.ceil(F.col("minors") / BLOCK).alias("blocks")
+    )
+    return rows.filter(F.col("n") <= leaf).select("key", "cid", "root"), large
+
+
+def compared_small(rows: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a < b`` of one small node in different components whose sizes and minwise tokens allow a link."""
+    least = int(COORDINATES * max(0.0, threshold - SKETCH))
+    rows = rows.join(classes.select("cid", "size", "sig"), "cid").select("key", "cid", "root", "size", "sig")
+    sorted_rows = rows.repartition("key").sortWithinPartitions("key", "cid")
+
+    def pairs(group: list[tuple]) -> list[tuple[int, int]]:
+        if len(group) < 2:
+            return []
+        ids, roots, sizes = (np.array([g[c] for g in group]) for c in range(3))
+        sigs = np.stack([g[3] for g in group])
+        equal = (sigs[:, None, :] == sigs[None, :, :]).sum(axis=2)
+        low, high = np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes)
+        fits = (equal >= least) & (low >= threshold * high - 1e-9) & (roots[:, None] != roots[None, :]) & (ids[:, None] < ids[None, :])
+        return [(int(ids[i]), int(ids[j])) for i, j in zip(*np.nonzero(fits))]
+
+    def compare(batches):
+        key, group = None, []
+        for batch in batches:
+            sigs = np.asarray(batch.column(4).flatten()).reshape(-1, COORDINATES)
+            out = []
+            for i, row in enumerate(zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True)):
+                if row[0] != key:
+                    out += pairs(group)
+                    key, group = row[0], []
+                group.append((*row[1:], sigs[i]))
+            yield _pairs(out)
+        yield _pairs(pairs(group))
+
+    return sorted_rows.mapInArrow(compare, "a bigint, b bigint")
+
+
+def compared_large(rows: DataFrame, texts: DataFrame, k: int, threshold: float) -> DataFrame:
+    """Pairs ``a < b`` of one large node in different components that share enough shingles, by 32-bit hashes.
+
+    A block of minor classes is held in a task with an index of their shingles; all classes of the node are then read
+    one by one. Hash collisions can only add pairs, or lose one that is within a collision of the threshold.
+    """
+    ids = sized(rows.select("cid").distinct())
+
+    def start():
+        return lambda values: [[np.unique((hashed(t, k) >> np.uint64(32)).astype(np.uint32)).tobytes() if t else b"" for t in values]]
+
+    sets = settled(annotated(texts.join(ids, "cid", "left_semi"), "t", ["cid"], schema("hashes binary"), start), "hashes")
+    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
+    held = rows.filter("minor").select("key", "cid", "root", own.alias("block"), F.lit(0).alias("turn"))
+    met = rows.select("key", "cid", "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("turn"))
+    dealt = held.union(met).join(sets, "cid").select("key", "block", "turn", "cid", "root", "hashes")
+    dealt = dealt.repartition("key", "block").sortWithinPartitions("key", "block", "turn", "cid")
+
+    def compare(batches):
+        at, index = None, None
+        for whole in batches:
+            for first in range(0, whole.num_rows, 512):
+                out = []
+                for key, block, turn, cid, root, data in zip(*(c.to_pylist() for c in whole.slice(first, 512).columns), strict=True):
+                    if (key, block) != at:
+                        at, index = (key, block), Index()
+                    values = np.frombuffer(data, np.uint32)
+                    if turn == 0:
+                        index.add(cid, root, values)
+                    else:
+                        out += [(min(cid, other), max(cid, other)) for other in index.partners(root, values, threshold)]
+                yield _pairs(out)
+
+    return dealt.mapInArrow(compare, "a bigint, b bigint")
+
+
+class Index:
+    """Shingles of a block of classes, each with the classes that have it."""
+
+    def __init__(self):
+        self.ids, self.roots, self.sets = [], [], []
+        self.values: np.ndarray | None = None
+
+    def add(self, cid: int, root: int, values: np.ndarray) -> None:
+        self.ids.append(cid)
+        self.roots.append(root)
+        self.sets.append(values)
+
+    def ready(self) -> None:
+        every = np.concatenate(self.sets)
+        owners = np.repeat(np.arange(len(self.sets)), [len(s) for s in self.sets])
+        order = np.argsort(every, kind="stable")
+        self.owners = owners[order]
+        self.values, self.starts = np.unique(every[order], return_index=True)
+        self.ends = np.append(self.starts[1:], len(every))
+        self.sizes = np.array([len(s) for s in self.sets])
+        self.at = np.array(self.roots)
+        self.names = np.array(self.ids)
+
+    def partners(self, root: int, values: np.ndarray, threshold: float) -> list[int]:
+        if not self.ids:
+            return []
+        if self.values is None:
+            self.ready()
+        place = np.searchsorted(self.values, values)
+        place[place == len(self.values)] = 0
+        place = place[self.values[place] == values]
+        starts, counts = self.starts[place], self.ends[place] - self.starts[place]
+        before = np.cumsum(counts) - counts
+        rows = np.repeat(starts - before, counts) + np.arange(counts.sum())
+        both = np.bincount(self.owners[rows], minlength=len(self.ids))
+        near = (both >= (threshold - 1e-3) * (self.sizes + len(values) - both)) & (self.at != root)
+        return self.names[near].tolist()
+
+
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*rows, strict=True) if rows else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
