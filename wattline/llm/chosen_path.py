@@ -31,13 +31,13 @@ from wattline.session import settled, sized
 COORDINATES = 64
 TREES = 10
 #: Levels every class goes down before nodes are counted, and levels at which branching ends.
-FIRST, DEPTH = 2, 7
+FIRST, DEPTH = 2, 6
 #: Nodes up to this size are leaves.
 LEAF = 16
 #: Pairs whose minwise tokens agree less than this below the threshold are not confirmed: over 4.5 standard deviations.
 SKETCH = 0.22
 #: Classes of a large family that are held in a task at once.
-BLOCK = 512
+BLOCK = 1024
 
 _RNG = np.random.default_rng(20)
 _FACTORS = _RNG.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -301,10 +301,11 @@ def compared_large(rows: DataFrame, texts: DataFrame, k: int, threshold: float)
         return lambda values: [[np.unique((hashed(t, k) >> np.uint64(32)).astype(np.uint32)).tobytes() if t else b"" for t in values]]
 
     sets = settled(annotated(texts.join(ids, "cid", "left_semi"), "t", ["cid"], schema("hashes binary"), start), "hashes")
-    own = F.pmod(F.xxhash64("cid"), F.col("blocks"))
-    held = rows.filter("minor").select("key", "cid", "root", own.alias("block"), F.lit(0).alias("turn"))
-    met = rows.select("key", "cid", "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("turn"))
-    dealt = held.union(met).join(sets, "cid").select("key", "block", "turn", "cid", "root", "hashes")
+    # Every class is read once per block (turn 1), and a minor class is held in one of them (turn 0).
+    turns = F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda b: F.struct(b.alias("block"), F.lit(1).alias("turn")))
+    held = F.array(F.struct(F.pmod(F.xxhash64("cid"), F.col("blocks")).alias("block"), F.lit(0).alias("turn")))
+    met = rows.join(sets, "cid").select("key", "cid", "root", "hashes", F.explode(F.when(F.col("minor"), F.concat(held, turns)).otherwise(turns)).alias("at"))
+    dealt = met.select("key", "at.block", "at.turn", "cid", "root", "hashes")
     dealt = dealt.repartition("key", "block").sortWithinPartitions("key", "block", "turn", "cid")
 
     def compare(batches):
