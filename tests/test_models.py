@@ -13,12 +13,13 @@ from wattline.operators.reconstruction import reconstruction_flags
 from wattline.operators.series import index_series
 from wattline.session import settled
 
+START = datetime(2023, 1, 1)
 READINGS = "time timestamp, meter_id string, kwh double, is_anomaly boolean, source string"
 
 
 @pytest.fixture(scope="module")
 def series(spark):
-    return index_series(spark.createDataFrame(demo.rows(), READINGS), "source", ("time",), calendar_bound=True)
+    return index_series(demo.readings(spark), "source", ("time",), calendar_bound=True)
 
 
 @pytest.fixture(scope="module")
@@ -154,19 +155,19 @@ def _fourier(times, origin):
     return np.stack(columns, axis=1)
 
 
-def test_regression_equals_least_squares(series):
-    rows = [r for r in demo.rows() if r[4] == "uci_household_power"]
-    times, values = [r[0] for r in rows], np.array([r[2] for r in rows])
+def test_regression_equals_least_squares(spark, series):
+    times, values = demo.series(spark, "uci_household_power")
+    values = np.array(values)
     got = FC.seasonal_regression(series.filter("source = 'uci_household_power'"), "source", folds=1, ridge=0.0)
     got = [r["forecast"] for r in got.orderBy("horizon_step").collect()]
     beta, *_ = np.linalg.lstsq(_fourier(times[:960], times[0]), values[:960], rcond=None)
     assert np.allclose(got, _fourier(times[960:], times[0]) @ beta, atol=1e-7)
 
 
-def test_reconstruction_equals_plain_components(series):
+def test_reconstruction_equals_plain_components(spark, series):
     from wattline.operators.blockwise import sliding
 
-    values = np.array([r[2] for r in demo.rows() if r[4] == "london_smart_meters"])
+    values = np.array(demo.series(spark, "london_smart_meters")[1])
     z = (values - values.mean()) / values.std()
     x = sliding(z, 48)
     centred = x - x.mean(axis=0)
@@ -179,11 +180,11 @@ def test_reconstruction_equals_plain_components(series):
     assert out[0]["threshold"] == pytest.approx(centre + 4 * np.median(np.abs(errors - centre)), abs=1e-6)
 
 
-def test_sequence_model_equals_least_squares(series):
+def test_sequence_model_equals_least_squares(spark, series):
     from wattline.operators.blockwise import sliding
 
     one = series.filter("source = 'nigeria_smart_meter'")
-    values = np.array([r[2] for r in demo.rows() if r[4] == "nigeria_smart_meter"])
+    values = np.array(demo.series(spark, "nigeria_smart_meter")[1])
     x = sliding(values, 28)
     design = np.hstack([np.ones((len(x), 1)), x[:, :24]])
     model = FC.sequence_model(FC.sequence_statistics(one, "source", 24, 4, block=200), 24, 4, ridge=0.0).first()
@@ -199,3 +200,28 @@ def test_isolation_scores_do_not_depend_on_blocks(series):
     b = isolation_scores(series, "source", block=77).withColumnRenamed("score", "other")
     both = a.join(b, ["source", "pos"])
     assert both.count() == 4032 and both.filter("abs(score - other) > 1e-12").count() == 0
+
+
+def test_short_and_unnamed_groups_keep_their_rows(spark):
+    rows = [(START + timedelta(hours=i), "m", float(i % 7), False, g) for g, n in (("long", 200), ("short", 50), ("tiny", 30), (None, 200)) for i in range(n)]
+    frame = index_series(spark.createDataFrame(rows, READINGS), "source", ("time",))
+    assert frame.count() == 480
+    out = reconstruction_flags(frame, frame, "source")
+    assert out.count() == 480
+    assert out.filter("source IN ('short', 'tiny') AND (score != 0 OR flag)").count() == 0
+    assert out.filter("source IS NULL").count() == 200
+
+
+def test_unnamed_group_is_a_group(spark):
+    from wattline.operators import profile as P
+    from wattline.operators import windows as W
+    from wattline.operators.quantiles import exact_quantiles
+
+    rows = [(START + timedelta(hours=i), "m", float(i), False, "a" if i % 2 else None) for i in range(120)]
+    frame = spark.createDataFrame(rows, READINGS)
+    for calendar_bound in (False, True):
+        placed = index_series(frame, "source", ("time",), calendar_bound=calendar_bound)
+        assert placed.filter("source IS NULL").agg(F.max("pos"), F.max("n")).first() == (59, 60)
+        assert W.znorm(placed, "source").count() == 120 and J.inject_drift(placed.withColumn("anomaly_type", F.lit("")), "source").count() == 120
+    assert P.box_stats(frame).count() == 2
+    assert exact_quantiles(frame, "source", "kwh", {"q": 0.5}).count() == 2

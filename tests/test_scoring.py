@@ -5,7 +5,6 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-import brute
 from wattline.operators import detect as D
 from wattline.operators import score as SC
 from wattline.operators.detect import DetectorConfig
@@ -41,35 +40,66 @@ def many():
     return {f"g{k}": random_series(k, size) for k, size in enumerate([120, 75, 33, 9])}
 
 
-@pytest.mark.parametrize("tol,min_flags,min_run,block", [(2, 5, 1, 65536), (0, 3, 2, 16), (3, 2, 3, 8)])
-def test_event_scores_equal_brute_force(spark, many, tol, min_flags, min_run, block):
-    out = SC.event_scores(scored(spark, many), "g", tol, min_flags, min_run, block).collect()
-    got = {r["g"]: (r["tp"], r["fp"], r["fn"], r["avg_latency_samples"]) for r in out}
-    for g, (truth, pred, types) in many.items():
-        want = brute.events(truth, pred, types, tol, min_flags, min_run)
-        assert got[g][:3] == want[:3], (g, got[g], want)
-        assert got[g][3] == pytest.approx(want[3]) if want[3] is not None else got[g][3] is None
-
-
-def test_event_scores_by_type_equal_brute_force(spark, many):
-    out = SC.event_scores_by_type(scored(spark, many), "g", 2, 5, 1, 16).collect()
-    got = {(r["g"], r["label"]): (r["tp"], r["fp"], r["fn"]) for r in out}
-    want = {}
-    for g, (truth, pred, types) in many.items():
-        for label in brute.labels(types):
-            mine = [t and label in k.split("+") for t, k in zip(truth, types)]
-            want[g, label] = brute.events(mine, pred, [label if m else "" for m in mine], 2, 5, 1)[:3]
-    assert got == want
-
-
-def test_latency_equals_brute_force(spark, many):
-    out = {r["g"]: r for r in SC.latency(scored(spark, many), "g", 2, 16).collect()}
-    for g, (truth, pred, _) in many.items():
-        windows, missed, mean = brute.latency(truth, pred, 2)
-        assert (out[g]["windows"], out[g]["missed_windows"]) == (windows, missed)
-        if mean is not None:
-            assert out[g]["avg_latency_samples"] == pytest.approx(mean)
-            assert out[g]["avg_latency_minutes"] == pytest.approx(mean * 30)
+def event_rows(df, *settings):
+    return {r["g"]: (r["tp"], r["fp"], r["fn"]) for r in SC.event_scores(df, "g", *settings).collect()}
+
+
+def count_events(series):
+    """Rising edges of the truth."""
+    return {g: sum(on and not before for before, on in zip([False, *truth], truth)) for g, (truth, _, _) in series.items()}
+
+
+@pytest.mark.parametrize("tol,min_flags,min_run", [(2, 5, 1), (0, 3, 2), (3, 2, 3)])
+def test_event_scores_do_not_depend_on_blocks_or_direction(spark, many, tol, min_flags, min_run):
+    whole = event_rows(scored(spark, many), tol, min_flags, min_run, 65536)
+    assert event_rows(scored(spark, many), tol, min_flags, min_run, 8) == whole
+    back = {g: tuple(part[::-1] for part in parts) for g, parts in many.items()}
+    assert event_rows(scored(spark, back), tol, min_flags, min_run, 16) == whole
+    events = count_events(many)
+    assert {g: tp + fn for g, (tp, _, fn) in whole.items()} == events
+    exact = {g: (truth, truth, types) for g, (truth, _, types) in many.items()}
+    assert event_rows(scored(spark, exact), 0, 1, 1) == {g: (n, 0, 0) for g, n in events.items()}
+    silent = {g: (truth, [False] * len(truth), types) for g, (truth, _, types) in many.items()}
+    assert event_rows(scored(spark, silent), tol, min_flags, min_run) == {g: (0, 0, n) for g, n in events.items()}
+
+
+def places(n, *on):
+    return [i in on for i in range(n)]
+
+
+def test_event_vectors(spark):
+    """Worked by hand: (truth, flags) and the result for tolerance 0 or 1."""
+    point, drift = ["point_spike"] * 14, ["trend_drift"] * 14
+    series = {
+        "outside": (places(14, 10), places(14, 8, 9, 10), point),  # three in a row, one of them in the window
+        "inside": (places(14, 8, 9, 10), places(14, 8, 9, 10), drift),
+        "broken": (places(14, 7, 8, 9, 10), places(14, 7, 8, 10), drift),
+        "far": (places(14, 2), places(14, 9, 10, 11, 12), point),
+    }
+    got = event_rows(scored(spark, series), 0, 3, 3)
+    assert got == {"outside": (0, 1, 1), "inside": (1, 0, 0), "broken": (0, 0, 1), "far": (0, 1, 1)}
+    late = {"late": (places(14, 3, 4, 5), places(14, 5, 6), drift)}
+    row = SC.event_scores(scored(spark, late), "g", 1, 2, 1).first()
+    assert (row["tp"], row["fp"], row["fn"], row["avg_latency_samples"]) == (1, 0, 0, 2.0)
+
+
+def test_event_scores_by_type(spark, many):
+    """Labels split the events; where each event has one label, the counts add up to those of all."""
+    single = {g: (truth, pred, ["trend_drift" if t else "" for t in truth]) for g, (truth, pred, _) in many.items()}
+    by_label = SC.event_scores_by_type(scored(spark, single), "g", 2, 5, 1, 16).collect()
+    assert {r["g"]: (r["tp"], r["fp"], r["fn"]) for r in by_label} == event_rows(scored(spark, single), 2, 5, 1)
+    small = SC.event_scores_by_type(scored(spark, many), "g", 2, 5, 1, 16)
+    large = SC.event_scores_by_type(scored(spark, many), "g", 2, 5, 1)
+    assert sorted(map(tuple, small.collect()), key=repr) == sorted(map(tuple, large.collect()), key=repr)
+
+
+def test_latency_vectors(spark, many):
+    series = {"g": (places(12, 2, 3, 7, 10), places(12, 3, 9, 11), ["x"] * 12)}
+    row = SC.latency(scored(spark, series), "g", 1, 4).first()
+    # Windows 2-3, 7 and 10: found after one step, not found, found after one step.
+    assert (row["windows"], row["missed_windows"], row["avg_latency_samples"], row["avg_latency_minutes"]) == (3, 1, 1.0, 30.0)
+    got = {r["g"]: r["windows"] for r in SC.latency(scored(spark, many), "g", 2, 16).collect()}
+    assert got == count_events(many)
 
 
 def test_confusion_adds_up(spark, many):

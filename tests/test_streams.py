@@ -36,6 +36,15 @@ def test_ingest_defaults_duplicates_and_restart(spark, tmp_path):
     # A later run only reads the new file, and still knows the readings of the first run.
     write_messages(tmp_path / "in", "2.txt", [message(1, kwh=1.0), message(2)])
     assert ingest(spark, tmp_path).count() == 3
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "out-rejected")).select("value").collect()] == ["not json"]
+
+
+def test_ingest_keeps_late_readings(spark, tmp_path):
+    for name, days in (("1.txt", (0, 10)), ("2.txt", (5, 11, 10)), ("3.txt", (1,))):
+        write_messages(tmp_path / "in", name, [message(24 * d) for d in days] + [{"meter_id": "m"}])
+        rows = ingest(spark, tmp_path)
+    assert rows.count() == rows.select("time", "meter_id").distinct().count() == 5
+    assert spark.read.text(str(tmp_path / "out-rejected")).count() == 3
 
 
 def test_late_rows_are_left_to_the_refresh(spark, tmp_path):

@@ -210,3 +210,35 @@ def test_entry_runs(spark):
 
     rows = contract.entry(spark).collect()
     assert len(rows) == 10 and rows[0]["total_kwh"] >= rows[-1]["total_kwh"]
+
+
+def test_csv_files_with_different_headers(spark, tmp_path):
+    from wattline.sources.readings import read_readings_csv
+
+    (tmp_path / "a_meter_readings.csv").write_text("time,meter_id,kwh,is_anomaly\n2024-01-01 00:00:00,m1,1.5,true\n")
+    (tmp_path / "b c_meter_readings.csv").write_text("meter_id,time,is_anomaly,kwh,source\nm2,2024-01-01 00:00:00,false,2.5,s\n")
+    got = {r["meter_id"]: (r["kwh"], r["is_anomaly"], r["source"]) for r in read_readings_csv(spark, str(tmp_path)).collect()}
+    assert got == {"m1": (1.5, True, "a_meter_readings"), "m2": (2.5, False, "s")}
+    (tmp_path / "c_meter_readings.csv").write_text("time,meter_id,is_anomaly\n2024-01-01 00:00:00,m1,true\n")
+    with pytest.raises(Exception, match="c_meter_readings"):
+        read_readings_csv(spark, str(tmp_path))
+
+
+def test_history_keeps_untracked_attributes(spark):
+    from wattline.operators.star import scd2_merge
+
+    dim = spark.sql(
+        "SELECT 1 AS meter_key, 'm1' AS meter_id, 'x' AS profile, 'Paris' AS location, 7 AS source_key, "
+        "timestamp'2024-01-01' AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, true AS is_current"
+    )
+    updates = spark.createDataFrame([("m1", "z"), ("m2", "y")], "meter_id string, profile string")
+    out = scd2_merge(dim, updates, ["profile"], F.lit("2024-02-01").cast("timestamp")).filter("is_current").orderBy("meter_id").collect()
+    assert [(r["meter_id"], r["profile"], r["location"], r["source_key"]) for r in out] == [("m1", "z", "Paris", 7), ("m2", "y", None, None)]
+
+
+def test_city_period_from_text_times(spark):
+    from wattline.sources.feeds import sheet_minutes, unpivot_city
+
+    sheet = spark.createDataFrame([("2024-01-01 00:00:00", "1"), ("2024-01-01 01:00:00", "1")], "DateTime string, zone1 string")
+    assert sheet_minutes("city", sheet, "DateTime") == 60
+    assert {r["kwh"] for r in unpivot_city(sheet, "city").collect()} == {0.207}

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattline.operators.series import SERIES_BLOCK, block_of
+from wattline.operators.series import SERIES_BLOCK, block_of, matched
 
 
 def summed_products(df: DataFrame, keys: Sequence[str], rows_of: Callable[[pd.DataFrame], np.ndarray]) -> DataFrame:
@@ -83,14 +83,14 @@ def score_blocks(
     """
     sizes = rows.groupBy(group).agg(F.max("pos").alias("_last"))
     blocks = F.sequence(F.lit(0).cast("long"), block_of(F.col("_last"), block))
-    spread = models.join(sizes, group).withColumn("_block", F.explode(blocks)).drop("_last")
+    spread = matched(models, sizes, group).withColumn("_block", F.explode(blocks)).drop("_last")
     schema = T.StructType(
         [rows.schema[group], T.StructField("pos", T.LongType()), T.StructField("score", T.DoubleType())]
     )
 
     def apply(data: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         if data.empty or model.empty:
-            return pd.DataFrame({group: [], "pos": [], "score": []})
+            return pd.DataFrame({group: pd.Series(dtype=object), "pos": pd.Series(dtype="int64"), "score": pd.Series(dtype=float)})
         data = data.sort_values("pos")
         values = score(data, model.iloc[0])
         own = ~data["_context"].to_numpy()

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from wattline.functions.time import calendar_features, horizon_steps, plus_minutes
 from wattline.operators.blockwise import as_matrix, merge_statistics, per_row, sliding, summed_products
 from wattline.operators.score import wape
-from wattline.operators.series import SERIES_BLOCK, block_of, cadence, prefix_sums, shifted, with_context
+from wattline.operators.series import SERIES_BLOCK, block_of, cadence, matched, prefix_sums, shifted, with_context
 from wattline.operators.windows import fourier_terms
 from wattline.session import settled, sized
 
@@ -69,7 +69,7 @@ def fold_targets(plan: DataFrame) -> DataFrame:
 
 
 def _with_actuals(targets: DataFrame, df: DataFrame, group: str) -> DataFrame:
-    return targets.join(df.select(group, "pos", "time", F.col("kwh").alias("actual")), [group, "pos"])
+    return matched(targets, df.select(group, "pos", "time", F.col("kwh").alias("actual")), [group, "pos"])
 
 
 def _output(df: DataFrame, group: str) -> DataFrame:
@@ -84,8 +84,8 @@ def _naive_values(targets: DataFrame, df: DataFrame, group: str, repeat_season:
         seasons_back = F.ceil(F.col("horizon_step") / F.col("season"))
     source = F.col("pos") - F.col("season") * seasons_back
     asked = targets.withColumn("_src", F.when(source >= 0, source).otherwise(F.col("cutoff") - 1))
-    return asked.join(
-        df.select(group, F.col("pos").alias("_src"), F.col("kwh").alias("naive")), [group, "_src"], "left"
+    return matched(
+        asked, df.select(group, F.col("pos").alias("_src"), F.col("kwh").alias("naive")), [group, "_src"], "left"
     ).drop("_src")
 
 

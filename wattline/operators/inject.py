@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wattline.functions.text import add_label
 from wattline.functions.time import minutes_between
-from wattline.operators.series import rolling
+from wattline.operators.series import matched, rolling
 from wattline.session import settled, sized
 
 # Label names and the part of a value that a drop removes.
@@ -152,7 +152,7 @@ def inject_drift(df: DataFrame, group: str, steps: int = 6, percent: float = 0.5
     step = F.col("pos") - (F.col("n") - steps) + 1
     hit = (F.col("n") >= 2 * steps) & (step >= 1)
     raised = F.round(F.col("kwh") + F.col("mean_kwh") * percent * (step / steps), 8)
-    return df.join(stats, group).withColumns(
+    return matched(df, stats, group).withColumns(
         {
             "kwh": F.when(hit, raised).otherwise(F.col("kwh")),
             "anomaly_type": F.when(hit, add_label(F.col("anomaly_type"), DRIFT_LABEL)).otherwise(F.col("anomaly_type")),

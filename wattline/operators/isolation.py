@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from wattline.operators.blockwise import score_blocks
 from wattline.operators.detect import DetectorConfig
 from wattline.operators.quantiles import exact_quantiles
-from wattline.operators.series import SERIES_BLOCK, with_context
+from wattline.operators.series import SERIES_BLOCK, matched, with_context
 from wattline.session import settled, sized
 
 TREES = 100
@@ -117,6 +117,6 @@ def isolation_flags(
     long_enough = df.filter(F.col("n") >= cfg.min_rows_isolation)
     scores = settled(isolation_scores(long_enough, group, value, seed, block), "isolation")
     cut = sized(exact_quantiles(scores, group, "score", {"cut": 1.0 - cfg.contamination}).drop("n_values"))
-    flagged = scores.join(cut, group).select(group, "pos", (F.col("score") > F.col("cut")).alias("flag"), "score")
-    out = df.join(flagged, [group, "pos"], "left")
+    flagged = matched(scores, cut, group).select(group, "pos", (F.col("score") > F.col("cut")).alias("flag"), "score")
+    out = matched(df, flagged, [group, "pos"], "left")
     return out.withColumn("flag", F.coalesce("flag", F.lit(False)))

@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattline.operators.series import matched
 from wattline.functions.time import minutes_between
 from wattline.operators.quantiles import exact_quantiles
 from wattline.session import sized
 
+NO_UTILITY = "(none)"
+
 
 def iqr_spikes(df: DataFrame, by: str = "meter_id") -> DataFrame:
     """Readings with a ``candidate_spike`` flag: above the third quartile plus three quartile ranges."""
     quartiles = sized(exact_quantiles(df, by, "kwh", {"q1": 0.25, "q3": 0.75}).drop("n_values"))
     limit = F.col("q3") + 3 * (F.col("q3") - F.col("q1"))
-    return df.join(quartiles, by).withColumn("candidate_spike", F.col("kwh") > limit).drop("q1", "q3")
+    return matched(df, quartiles, by).withColumn("candidate_spike", F.col("kwh") > limit).drop("q1", "q3")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -84,11 +87,11 @@ def box_stats(df: DataFrame, by: str = "source") -> DataFrame:
     value = F.col("kwh")
     inside = (value >= F.col("q1") - reach) & (value <= F.col("q3") + reach)
     whiskers = (
-        df.join(quartiles.select(by, "q1", "q3"), by)
+        matched(df, quartiles.select(by, "q1", "q3"), by)
         .groupBy(by)
         .agg(F.min(F.when(inside, value)).alias("whisker_lo"), F.max(F.when(inside, value)).alias("whisker_hi"))
     )
-    return quartiles.join(whiskers, by)
+    return matched(quartiles, whiskers, by)
 
 
 def _first_times(df: DataFrame, n: int) -> DataFrame:
@@ -120,14 +123,17 @@ def sampling_hours(df: DataFrame) -> DataFrame:
 
 
 def conversion_factors(df: DataFrame, period_hours: float) -> DataFrame:
-    """Implied and electrical kW-per-ampere factors: medians overall (``disco`` null) and per utility."""
+    """Implied and electrical kW-per-ampere factors: medians overall (``disco`` null) and per utility.
+
+    Rows without a utility form a group of their own, ``NO_UTILITY``.
+    """
 
     def known(name: str):
         return F.coalesce(F.col(name), F.lit(0.0))
 
     amperes, volts, factor = known("current_a"), known("voltage_v"), known("power_factor")
     valid = df.filter((amperes > 0) & (volts > 0) & (factor > 0)).select(
-        "disco",
+        F.coalesce("disco", F.lit(NO_UTILITY)).alias("disco"),
         (known("consumption_kwh") / period_hours / amperes).alias("implied"),
         (volts * amperes * factor / 1000.0 / amperes).alias("electrical"),
     )

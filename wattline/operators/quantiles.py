@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattline.operators.series import matched
 from wattline.session import sized
 
 SKETCH_ACCURACY = 100_000
@@ -47,7 +48,7 @@ def exact_quantiles(
         edges[f"_hi{i}"] = F.when(small, F.col("_max")).otherwise(F.col("_edges")[len(wanted) + i])
     bounds = bounds.withColumns(edges).select(*keys, "n_values", *edges)
     if keys:
-        bracketed = data.join(sized(bounds), keys)
+        bracketed = matched(data, sized(bounds), keys)
     else:  # one row of bounds, carried as literals
         row = bounds.first()
         bracketed = data.withColumns({name: F.lit(row[name]) for name in bounds.columns})
@@ -87,7 +88,7 @@ def median_mad(df: DataFrame, by: str | Sequence[str], value: str) -> DataFrame:
     """Median and median absolute deviation per group (both exact)."""
     keys = [by] if isinstance(by, str) else list(by)
     centre = sized(exact_quantiles(df, keys, value, {"median": 0.5}))
-    spread = df.join(centre.select(*keys, "median"), keys).select(
+    spread = matched(df, centre.select(*keys, "median"), keys).select(
         *keys, F.abs(F.col(value) - F.col("median")).alias("_dev")
     )
-    return centre.join(exact_quantiles(spread, keys, "_dev", {"mad": 0.5}).drop("n_values"), keys)
+    return matched(centre, exact_quantiles(spread, keys, "_dev", {"mad": 0.5}).drop("n_values"), keys)

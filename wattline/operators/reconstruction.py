@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from wattline.operators.blockwise import as_matrix, per_row, score_blocks, sliding, summed_products
 from wattline.operators.quantiles import median_mad
-from wattline.operators.series import SERIES_BLOCK, with_context
+from wattline.operators.series import SERIES_BLOCK, matched, with_context
 from wattline.session import settled, sized
 
 WINDOW = 48
@@ -19,7 +19,7 @@ COMPONENTS = 6
 
 def _normalised(df: DataFrame, scale: DataFrame, group: str, value: str) -> DataFrame:
     z = (F.col(value) - F.col("_mean")) / F.col("_std")
-    return df.join(scale, group).select(group, "pos", "n", z.alias("z"))
+    return matched(df, scale, group).select(group, "pos", "n", z.alias("z"))
 
 
 def fit_components(
@@ -85,5 +85,7 @@ def reconstruction_flags(
     limit = F.col("median") + multiplier * F.greatest("mad", F.lit(1e-9))
     limits = sized(limits.select(group, limit.alias("threshold"), F.col("n_values").alias("train_windows")))
     rows = with_context(_normalised(injected, scale, group, value), back, block)
-    scored = window_errors(rows, models, group, window, block).join(limits, group)
-    return injected.join(scored, [group, "pos"]).withColumn("flag", full & (F.col("score") > F.col("threshold")))
+    scored = matched(window_errors(rows, models, group, window, block), limits, group)
+    # Groups too short for a model, or absent from the clean series, keep their rows: score 0, no flag.
+    out = matched(injected, scored, [group, "pos"], "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    return out.withColumn("flag", F.coalesce(full & (F.col("score") > F.col("threshold")), F.lit(False)))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wattline.functions.text import label_set, min_flags
 from wattline.operators.detect import exceeds
 from wattline.operators.series import (
+    matched,
     SERIES_BLOCK,
     block_of,
     cadence,
@@ -192,7 +193,9 @@ def _event_scores(
         )
     )
     needed = min_flags(F.col("type"), event_min_flags)
-    runs_ok = F.coalesce(F.col("stretch_at") <= F.col("hi"), F.lit(False)) if event_min_run >= 1 else F.lit(True)
+    # A stretch must lie in the window: one that is longer than the window cannot.
+    fits = F.col("hi") - F.col("lo") + 1 >= event_min_run
+    runs_ok = F.coalesce(fits & (F.col("stretch_at") <= F.col("hi")), F.lit(False)) if event_min_run >= 1 else F.lit(True)
     first = F.when(F.col("next_start") <= F.col("hi"), F.col("next_start"))
     first = F.coalesce(first, F.when(F.col("next_lo") <= F.col("hi"), F.col("next_lo")), F.col("run_start"))
     found = found.withColumn("detected", (F.col("in_window") >= needed) & runs_ok).withColumn(
@@ -291,7 +294,7 @@ def align(
     """Truth and prediction side by side by place in the ordered group; groups of different length raise."""
     left = index_series(truth, group, order, calendar_bound).select(group, "pos", *order, "truth")
     right = index_series(pred, group, order, calendar_bound).select(group, "pos", "pred")
-    joined = left.join(right, [group, "pos"], "full")
+    joined = matched(left, right, [group, "pos"], "full")
     mismatch = F.raise_error(F.lit("Prediction length mismatch")).cast("boolean")
     unpaired = F.col("truth").isNull() | F.col("pred").isNull()
     return joined.withColumns({name: F.when(unpaired, mismatch).otherwise(F.col(name)) for name in ("truth", "pred")})

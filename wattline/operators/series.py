@@ -13,6 +13,7 @@ source may hold a third of the table), so nothing here sorts a whole group in on
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -72,12 +73,23 @@ def _range_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
         {"_base": F.coalesce(F.sum("_rows").over(before), F.lit(0)), "n": F.sum("_rows").over(whole)}
     )
     return (
-        placed.join(sized(chunks.drop("_rows")), [*keys, "_part"])
+        matched(placed, sized(chunks.drop("_rows")), [*keys, "_part"])
         .withColumn("pos", F.col("_base") + F.col("_row") - F.col("_first"))
         .drop("_row", "_part", "_first", "_base")
     )
 
 
+def matched(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys where null equals null, so that rows of an unnamed group are kept."""
+    keys = _names(keys)
+    other = {key: f"_right_{key}" for key in keys}
+    same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(name)) for key, name in other.items()])
+    out = left.join(right.withColumnsRenamed(other), same, how)
+    if how == "full":
+        out = out.withColumns({key: F.coalesce(key, name) for key, name in other.items()})
+    return out.drop(*other.values())
+
+
 def block_of(pos: Column, block: int) -> Column:
     return F.floor(pos / block).cast("long")
 
@@ -129,7 +141,7 @@ def prefix_sums(
         *[F.coalesce(F.sum(f"_tot_{name}").over(earlier), F.lit(0)).alias(f"_base_{name}") for name in columns],
     )
     inside = Window.partitionBy(*keys, "_block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    out = blocked.join(totals, [*keys, "_block"]).withColumns(
+    out = matched(blocked, totals, [*keys, "_block"]).withColumns(
         {name: F.col(f"_base_{name}") + F.sum(f"_add_{name}").over(inside) for name in columns}
     )
     return out.drop("_block", *[f"{kind}_{name}" for name in columns for kind in ("_add", "_base")])
@@ -152,7 +164,7 @@ def next_positions(
         *keys, "_block", *[F.min(f"_min_{name}").over(later).alias(f"_later_{name}") for name in flags]
     )
     inside = Window.partitionBy(*keys, "_block").orderBy("pos").rowsBetween(0, Window.unboundedFollowing)
-    out = blocked.join(firsts, [*keys, "_block"]).withColumns(
+    out = matched(blocked, firsts, [*keys, "_block"]).withColumns(
         {name: F.coalesce(F.min(f"_at_{name}").over(inside), F.col(f"_later_{name}")) for name in flags}
     )
     return out.drop("_block", *[f"{kind}_{name}" for name in flags for kind in ("_at", "_later")])
@@ -166,7 +178,7 @@ def shifted(
     past = df.select(
         *keys, (F.col("pos") + steps).alias("pos"), *[F.col(old).alias(new) for new, old in columns.items()]
     )
-    return df.join(past, [*keys, "pos"], "left")
+    return matched(df, past, [*keys, "pos"], "left")
 
 
 def true_runs(

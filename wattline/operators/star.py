@@ -225,6 +225,10 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, tracked: Sequence[str], as_of
         current.withColumn("_known", F.lit(True)), "meter_id", "left"
     )
     fresh = compared.filter(F.col("_known").isNull() | ~same).select("meter_id", *tracked)
+    # What is not tracked passes from the closed version to the new one.
+    own = {"meter_id", key, "valid_from", "valid_to", "is_current", *tracked}
+    carried = [c for c in dim.columns if c not in own]
+    fresh = fresh.join(dim.filter("is_current").select("meter_id", *carried), "meter_id", "left")
     closed = dim.join(fresh.select("meter_id", F.lit(True).alias("_hit")), "meter_id", "left")
     ends = F.col("is_current") & F.coalesce("_hit", F.lit(False))
     closed = closed.withColumn("valid_to", F.when(ends, as_of).otherwise(F.col("valid_to"))).withColumn(

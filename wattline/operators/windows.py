@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.time import calendar_features
-from wattline.operators.series import SERIES_BLOCK, cadence, rolling, shifted
+from wattline.operators.series import SERIES_BLOCK, cadence, matched, rolling, shifted
 from wattline.session import sized
 
 
@@ -52,7 +52,7 @@ def seasons(df: DataFrame, group: str, window: int) -> DataFrame:
 
 def seasonal_residual(df: DataFrame, group: str, window: int = 24, value: str = "kwh") -> DataFrame:
     """Value minus the value one season earlier by position; 0 before the first season."""
-    stepped = df.join(sized(seasons(df, group, window)), group)
+    stepped = matched(df, sized(seasons(df, group, window)), group)
     past = shifted(stepped, group, F.col("season_steps"), {"_past": value})
     residual = F.when(F.col("pos") >= F.col("season_steps"), F.col(value) - F.col("_past")).otherwise(F.lit(0.0))
     return past.withColumn("residual", residual).drop("_past")
@@ -102,7 +102,7 @@ def adaptive_window(df: DataFrame, group: str, base: int = 96, value: str = "kwh
 
 def _with_stats(df: DataFrame, group, aggregates: Sequence[Column]) -> DataFrame:
     keys = [group] if isinstance(group, str) else list(group)
-    return df.join(sized(df.groupBy(*keys).agg(*aggregates)), keys)
+    return matched(df, sized(df.groupBy(*keys).agg(*aggregates)), keys)
 
 
 def minmax_scale(df: DataFrame, group, value: str = "kwh") -> DataFrame:

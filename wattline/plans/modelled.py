@@ -17,6 +17,7 @@ from wattline.operators import star as ST
 from wattline.operators import windows as W
 from wattline.plans import inputs as I
 from wattline.plans.registry import ctes, query, rates
+from wattline.schema import READING_COLUMNS
 from wattline.session import scratch_path, settled
 from wattline.sinks import tables as K
 from wattline.streaming import jobs as ST_JOBS
@@ -840,7 +841,7 @@ def stream_ingest(spark, folder):
     arrivals = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies))).drop("_copy")
     out, checkpoint = _paths(spark, "ingest")
     ST_JOBS.ingest_stream(K.to_messages(arrivals), out, checkpoint, available_now=True)
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).select(*READING_COLUMNS)
 
 
 CLOSED = (

@@ -92,9 +92,12 @@ def sheet_minutes(name: str, df: DataFrame | None = None, time_column: str | Non
     for mark, minutes in (("30t", 30), ("30min", 30), ("10t", 10), ("10min", 10)):
         if mark in lowered:
             return minutes
-    if df is None or time_column is None or not dict(df.dtypes)[time_column].startswith("timestamp"):
+    if df is None or time_column is None:
         return 10
-    first = [row[0] for row in df.select(time_column).orderBy(time_column).limit(2).collect()]
+    stamp = F.col(f"`{time_column}`")
+    stamp = stamp if dict(df.dtypes)[time_column].startswith("timestamp") else parse_time(stamp)
+    times = df.select(stamp.alias("_time")).filter("_time IS NOT NULL")
+    first = [row[0] for row in times.orderBy("_time").limit(2).collect()]
     return (int((first[1] - first[0]).total_seconds() // 60) or 10) if len(first) == 2 else 10
 
 

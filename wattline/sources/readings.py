@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import datetime
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,7 @@ from wattline.functions.text import TRUE_WORDS, decode_message, parse_bool
 from wattline.functions.time import parse_time
 from wattline.schema import READING_COLUMNS, require_columns
 
+READABLE = "(time IS NOT NULL AND meter_id IS NOT NULL AND kwh IS NOT NULL)"
 READINGS_GLOB = "*_meter_readings.csv"
 
 
@@ -26,12 +29,23 @@ def read_readings_csv(
 
     ``glob`` limits a folder to matching names (``READINGS_GLOB`` finds the prepared feeds).  ``strict``
     raises on unreadable times and numbers, otherwise they become null for :func:`clean` to drop.
+    Columns are found by name in every file: each header is read once, files with the same one are scanned together.
     """
     reader = spark.read.option("header", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    raw = reader.csv(path)
-    require_columns(raw.columns, {"time", "meter_id", "kwh", "is_anomaly"}, str(path))
+    listing = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(unquote(f) for f in listing.text(path).inputFiles()):
+        columns = reader.csv(file).columns
+        require_columns(columns, {"time", "meter_id", "kwh", "is_anomaly"}, file)
+        by_header.setdefault(tuple(columns), []).append(file)
+    if not by_header:  # an empty folder, or nothing that matches
+        raise FileNotFoundError(f"no readings file in {path}")
+    tables = [_typed(reader.csv(files), strict, true_words) for files in by_header.values()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables)
+
+
+def _typed(raw: DataFrame, strict: bool, true_words: Sequence[str]) -> DataFrame:
+    """Readings columns of files that share one header; further columns are kept."""
     stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[^.]*)?$", 1)
     given = F.nullif(F.trim(F.col("source")), F.lit("")) if "source" in raw.columns else F.lit(None).cast("string")
     number = F.col("kwh").cast("double") if strict else F.col("kwh").try_cast("double")
@@ -81,15 +95,25 @@ def read_messages(spark: SparkSession, options: dict[str, str] | None = None, fo
 
 
 def readings_from_messages(messages: DataFrame, default_source: str = "kafka_live_replay") -> DataFrame:
-    """Decode messages, filling the anomaly flag and the source when absent; unreadable messages are dropped."""
-    body = messages.select(decode_message(F.col("value")).alias("m")).select("m.*")
+    """Decode messages, filling the anomaly flag and the source when absent; :func:`unreadable_messages` has the rest."""
+    return _decoded(messages, default_source).filter(READABLE).drop("value")
+
+
+def unreadable_messages(messages: DataFrame) -> DataFrame:
+    """The messages, as they came, that lack a readable time, meter or value."""
+    return _decoded(messages, "").filter(f"NOT coalesce({READABLE}, false)").select("value")
+
+
+def _decoded(messages: DataFrame, default_source: str) -> DataFrame:
+    body = messages.select("value", decode_message(F.col("value")).alias("m")).select("value", "m.*")
     return body.select(
+        "value",
         parse_time(F.col("timestamp")).alias("time"),
         "meter_id",
         "kwh",
         F.coalesce("is_anomaly", F.lit(False)).alias("is_anomaly"),
         F.coalesce("source", F.lit(default_source)).alias("source"),
-    ).filter("time IS NOT NULL AND meter_id IS NOT NULL AND kwh IS NOT NULL")
+    )
 
 
 def ordered(df: DataFrame, keys: Iterable[str] = ("source", "meter_id", "time")) -> DataFrame:

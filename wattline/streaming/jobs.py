@@ -11,6 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from wattline.operators.detect import residual_zscore
@@ -18,10 +19,10 @@ from wattline.operators.rollups import REFRESH_POLICIES, rollup_columns
 from wattline.operators.series import global_index
 from wattline.operators.star import build_fact_readings, resolve_keys, source_code
 from wattline.schema import READING_COLUMNS
-from wattline.sinks.tables import first_per_key
-from wattline.sources.readings import readings_from_messages
+from wattline.sinks.tables import first_per_key, time_chunk
+from wattline.sources.readings import readings_from_messages, unreadable_messages
 
-# Late rows are accepted this long; it bounds the memory of the duplicate filter.
+# How long a duplicate filter on a stream remembers; the ingest itself does not forget.
 DEDUP_DELAY = "1 day"
 
 
@@ -37,13 +38,37 @@ def dedup_stream(readings: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
     return readings.withWatermark("time", delay).dropDuplicatesWithinWatermark(["meter_id", "time"])
 
 
+def ingest_writer(out: str, rejected: str) -> Callable[[DataFrame, int], None]:
+    """Batch function storing new readings below ``out`` and unreadable messages below ``rejected``.
+
+    However late, a reading is stored unless its (meter, time) is stored already; only the time chunks that the batch
+    touches are read for that. A batch owns its folders and overwrites them when repeated.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        unreadable_messages(batch).write.mode("overwrite").text(_batch_path(rejected, batch_id))
+        keys = ["meter_id", "time"]
+        rows = first_per_key(readings_from_messages(batch), keys, ["kwh"]).withColumn("time_chunk", time_chunk(F.col("time")))
+        if batch_id > 0:
+            stored = spark.read.schema(T.StructType([*rows.schema, T.StructField("batch_id", T.IntegerType())])).parquet(out)
+            chunks = [r[0] for r in rows.select("time_chunk").distinct().collect()]  # one per touched week
+            known = stored.filter((F.col("batch_id") < batch_id) & F.col("time_chunk").isin(chunks))
+            rows = rows.join(known.select(*keys), keys, "left_anti")
+        rows.select(*READING_COLUMNS, "time_chunk").write.mode("overwrite").partitionBy("time_chunk").parquet(_batch_path(out, batch_id))
+
+    return write
+
+
 def ingest_stream(
-    messages: DataFrame, out: str, checkpoint: str, delay: str = DEDUP_DELAY, available_now: bool = False
+    messages: DataFrame, out: str, checkpoint: str, rejected: str | None = None, available_now: bool = False
 ) -> StreamingQuery:
-    """Messages to the readings table: decode, fill defaults, drop repeats, append exactly once."""
-    rows = dedup_stream(readings_from_messages(messages), delay)
-    writer = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-    return _start(writer.outputMode("append"), available_now)
+    """Messages to the readings table: decode, fill defaults, insert what is new, keep unreadable messages aside.
+
+    ``out`` is partitioned by batch and time chunk; unreadable messages go to ``rejected`` (``<out>-rejected``).
+    """
+    writer = messages.writeStream.foreachBatch(ingest_writer(out, rejected or f"{out.rstrip('/')}-rejected"))
+    return _start(writer.option("checkpointLocation", checkpoint), available_now)
 
 
 def stream_rollup(readings: DataFrame, width: str, watermark: str | None = None) -> DataFrame:
