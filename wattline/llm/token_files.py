@@ -7,7 +7,7 @@ the place in the whole corpus follows from the files' totals.
 
 The library encodes every distinct unit (a blank and the characters up to the next) once per worker, many at a time;
 texts are put together from the units' ids. A single blank between two other characters always begins a match of the
-pre-splitting pattern, so the ids are those of the whole text.
+pre-splitting pattern, and a single line break between two others is one, so the ids are those of the whole text.
 """
 
 from __future__ import annotations
@@ -28,11 +28,11 @@ from wattline.session import scratch_path
 END = 2
 STRIPE = 64 << 20
 #: Units kept per generation of the cache; two generations are held.
-KEPT = 300_000
+KEPT = 600_000
 #: Units encoded in one call.
 CALL = 2000
 
-BESIDE_BLANK = re.compile(r" \s|\s ")
+MEETING = re.compile(r"\s\s")
 LONE_BLANK = re.compile(r"(?<=\S) (?=\S)")
 BLANK = re.compile(r"\s")
 
@@ -48,40 +48,52 @@ class Units:
         self.line = self.ids("\n")
 
     def ids(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
+
+    def apart(self, units: list[str], before: str) -> list[bytes]:
+        """The ids of units without blanks inside, each after ``before``, in calls of many with a line break between
+        them: that is always a match of its own there and gives an id that no such unit contains."""
+        out, mark = [], np.frombuffer(self.line, "<u4")[0]
+        for at in range(0, len(units), CALL):
+            found = np.frombuffer(self.ids(before + ("\n" + before).join(units[at : at + CALL])), "<u4")
+            begin = 0
+            for end in [*np.flatnonzero(found == mark).tolist(), len(found)]:
+                out.append(found[begin:end].tobytes())
+                begin = end + 1
+        return out
 
     def learn(self, units: set[str]) -> None:
-        """Make sure that every unit, with a blank before it, is known. Units without blanks inside share calls, a line
-        break between them: it is always a match of its own there and gives an id that no such unit contains."""
+        """Make sure that every unit is known: with a blank before it, or, if its key begins with a line break, alone."""
         if len(self.new) > KEPT:
             self.old, self.new = self.new, {}
         missing = units - self.new.keys()
         known = missing & self.old.keys()
         self.new.update((u, self.old[u]) for u in known)
-        plain = []
+        plain, heads = [], []
         for unit in missing - known:
-            if unit and not BLANK.search(unit):
-                plain.append(unit)
+            head = unit[:1] == "\n"
+            if len(unit) > head and not BLANK.search(unit, head):
+                (heads if head else plain).append(unit)
             else:
-                self.new[unit] = self.ids(" " + unit)
-        mark = np.frombuffer(self.line, "<u4")[0]
-        for at in range(0, len(plain), CALL):
-            part = plain[at : at + CALL]
-            found = np.frombuffer(self.ids(" " + "\n ".join(part)), "<u4")
-            ends = [*np.flatnonzero(found == mark).tolist(), len(found)]
-            begin = 0
-            for unit, end in zip(part, ends, strict=True):
-                self.new[unit] = found[begin:end].tobytes()
-                begin = end + 1
+                self.new[unit] = self.ids(unit[1:] if head else " " + unit)
+        self.new.update(zip(plain, self.apart(plain, " "), strict=True))
+        self.new.update(zip(heads, self.apart([h[1:] for h in heads], ""), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [LONE_BLANK.split(t) if BESIDE_BLANK.search(t) else t.split(" ") for t in texts]
-        heads = [parts[0] for parts in split]
-        for parts in split:
-            del parts[0]
-        self.learn(set(chain.from_iterable(split)))
+        """The ids of whole texts. Where no two blanks meet, a line break is a match of its own and lines are apart."""
+        split, wanted = [], set()
+        for text in texts:
+            if MEETING.search(text):
+                parts = [LONE_BLANK.split(text)]
+            else:
+                parts = [line.split(" ") for line in text.split("\n")]
+            for line in parts:
+                line[0] = "\n" + line[0]
+                wanted.update(line)
+            split.append(parts)
+        self.learn(wanted)
         known = self.new.__getitem__
-        return [(self.ids(head) if head else b"") + b"".join(map(known, parts)) for head, parts in zip(heads, split, strict=True)]
+        return [self.line.join([b"".join(map(known, line)) for line in parts]) for parts in split]
 
 
 @functools.lru_cache(maxsize=2)
