@@ -1,11 +1,13 @@
 import json
 import os
 from datetime import date, datetime, timedelta
+from types import SimpleNamespace
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from wattline import session
 from wattline.functions import sql as sql_functions
 from wattline.functions import text as X
 from wattline.functions import time as C
@@ -242,3 +244,17 @@ def test_city_period_from_text_times(spark):
     sheet = spark.createDataFrame([("2024-01-01 00:00:00", "1"), ("2024-01-01 01:00:00", "1")], "DateTime string, zone1 string")
     assert sheet_minutes("city", sheet, "DateTime") == 60
     assert {r["kwh"] for r in unpivot_city(sheet, "city").collect()} == {0.207}
+
+
+@pytest.mark.parametrize(("master", "alone"), [("local", True), ("local[*]", True), ("local-cluster[2,1,1024]", False), ("yarn", False)])
+def test_scratch_of_our_own_only_on_one_machine(master, alone, monkeypatch, tmp_path):
+    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
+    asked = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, other: other),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda path: None),
+    )
+    if alone:
+        assert session.shared_dir(asked) == str(tmp_path)
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_dir(asked)

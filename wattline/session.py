@@ -34,10 +34,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def one_machine(master: str) -> bool:
+    """Whether a master runs everything in one process (``local-cluster`` does not)."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``, our own only if unset."""
+    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
+
+    Only where all executors are threads of this machine, a folder of our own stands in for an unset one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not one_machine(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="wattline-")
         spark.sparkContext.setCheckpointDir(named)
     return named
