@@ -204,8 +204,9 @@ def time_range_count(spark, folder):
     "WHERE meter_id = 'MTR_click_01' GROUP BY 1 HAVING date_trunc('hour', time) >= TIMESTAMP '2024-01-18 12:00:00'",
 )
 def load_curve(spark, folder):
-    hourly = R.rollup(I.readings(spark, folder), "1 hour")
-    curve = R.load_curve(hourly, "MTR_click_01", I.NOW - timedelta(days=7))
+    lo = I.NOW - timedelta(days=7)
+    recent = I.readings(spark, folder).filter(F.col("time") >= F.lit(lo).cast("timestamp"))  # lo begins a bucket
+    curve = R.load_curve(R.rollup(recent, "1 hour"), "MTR_click_01", lo)
     return curve.withColumn("kwh_total", r("kwh_total"))
 
 
@@ -399,7 +400,8 @@ def scheduled_refresh(spark, folder):
     "WHERE date_trunc('day', time) = DATE '2024-01-15' GROUP BY 1 ORDER BY sum(kwh) DESC, meter_id LIMIT 10",
 )
 def top_meters(spark, folder):
-    top = R.top_meters_on(R.rollup(I.readings(spark, folder), "1 day"), I.DAY)
+    on_day = R.time_filter(I.readings(spark, folder), "time", I.DAY, I.DAY + timedelta(days=1, microseconds=-1))
+    top = R.top_meters_on(R.rollup(on_day, "1 day"), I.DAY)
     return top.withColumn("total_kwh", r("total_kwh"))
 
 
