@@ -8,7 +8,7 @@ import demo
 from wattline.operators import forecast as FC
 from wattline.operators import inject as J
 from wattline.operators import score as SC
-from wattline.operators.isolation import grow_forest, isolation_flags
+from wattline.operators.isolation import grow_forest, isolation_flags, isolation_scores
 from wattline.operators.reconstruction import reconstruction_flags
 from wattline.operators.series import index_series
 from wattline.session import settled
@@ -130,11 +130,29 @@ def test_isolation(series):
 
 def test_forest_isolates_an_outlier():
     values = np.concatenate([np.random.default_rng(0).normal(0, 1, 500), [25.0]])
-    edges, depths = grow_forest(values, 1)
+    rng = np.random.default_rng(1)
+    edges, depths = grow_forest([rng.choice(values, 256, replace=False) for _ in range(100)], 1)
     depth = depths[np.searchsorted(edges, [0.0, 25.0])]
     assert depth[1] < depth[0] and len(depths) == len(edges) + 1
 
 
+def test_isolation_draws_from_the_whole_group(spark):
+    """Half of a group lies near 0, half near 10, and one row in 200 far off. Trees draw about one far row each, so
+    that far rows stand out together; the halves are alike, whatever their positions."""
+    n = 20_000
+    far = F.pmod("id", F.lit(200)) == 77
+    frame = spark.range(n).select(
+        F.lit("g").alias("source"), F.col("id").alias("pos"), F.lit(n).cast("long").alias("n"),
+        F.when(far, 1000.0 + F.rand(5) * 100).otherwise((F.col("id") % 2) * 10.0 + F.rand(3)).alias("kwh"),
+    )
+    scores = isolation_scores(frame, "source", block=3000)
+    assert scores.count() == n
+    part = F.when(F.col("pos") % 200 == 77, "far").when(F.col("pos") % 2 == 1, "high").otherwise("low")
+    mean = {r["part"]: r["mean"] for r in scores.groupBy(part.alias("part")).agg(F.avg("score").alias("mean")).collect()}
+    assert mean["far"] > max(mean["high"], mean["low"]) + 0.1
+    assert abs(mean["high"] - mean["low"]) < 0.05
+
+
 def test_reconstruction_blocks_agree(series, injected):
     a = reconstruction_flags(series, injected, "source")
     b = reconstruction_flags(series, injected, "source", block=100)
@@ -194,8 +212,6 @@ def test_sequence_model_equals_least_squares(spark, series):
 
 
 def test_isolation_scores_do_not_depend_on_blocks(series):
-    from wattline.operators.isolation import isolation_scores
-
     a = isolation_scores(series, "source")
     b = isolation_scores(series, "source", block=77).withColumnRenamed("score", "other")
     both = a.join(b, ["source", "pos"])

@@ -1,8 +1,8 @@
 """Isolation scores of single values.
 
-The trees only need a small sample of each group; with one feature their mean depth is a step function of
-the value.  So the forest is grown per group on a hash-chosen sample, stored as edges and depths, and every
-row is scored block by block.
+Every tree draws its own rows from the whole group by a hash; with one feature the trees' mean depth is a step
+function of the value.  So a group's forest is grown from at most about ``TREES * TREE_SAMPLE`` rows, stored as edges
+and depths, and every row is scored block by block.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from wattline.session import settled, sized
 
 TREES = 100
 TREE_SAMPLE = 256
-GROUP_SAMPLE = 1024
 
 
 def expected_depth(size: int) -> float:
@@ -56,30 +55,32 @@ def _grow(values: np.ndarray, rng: np.random.Generator, limit: int) -> tuple[lis
     return cuts, depths
 
 
-def grow_forest(values: np.ndarray, seed: int, trees: int = TREES) -> tuple[np.ndarray, np.ndarray]:
-    """Edges and mean depths of a forest: ``depths[k]`` holds between ``edges[k - 1]`` and ``edges[k]``."""
+def grow_forest(samples: list[np.ndarray], seed: int, size: int = TREE_SAMPLE) -> tuple[np.ndarray, np.ndarray]:
+    """Edges and mean depths of a forest: ``depths[k]`` holds between ``edges[k - 1]`` and ``edges[k]``.
+
+    One tree per sample, which has about ``size`` values.
+    """
     rng = np.random.default_rng(seed)
-    size = min(TREE_SAMPLE, len(values))
     limit = int(np.ceil(np.log2(max(size, 2))))
     start = 0.0
     edges: list[float] = []
     steps: list[float] = []
-    for _ in range(trees):
-        sample = np.sort(rng.choice(values, size=size, replace=False))
-        cuts, depths = _grow(sample, rng, limit)
+    for sample in samples:
+        cuts, depths = _grow(np.sort(sample), rng, limit)
         start += depths[0]
         edges.extend(cuts)
         steps.extend(np.diff(depths))
     order = np.argsort(edges, kind="stable")
     totals = start + np.concatenate([[0.0], np.cumsum(np.asarray(steps)[order])])
-    return np.asarray(edges)[order], totals / trees
+    return np.asarray(edges)[order], totals / len(samples)
 
 
 def isolation_scores(df: DataFrame, group: str, value: str = "kwh", seed: int = 42, block: int = SERIES_BLOCK) -> DataFrame:
     """``(group, pos, score)`` of an indexed series; higher is more isolated."""
-    # A row enters the sample when its hash falls into a share of about GROUP_SAMPLE rows of its group.
-    draw = F.pmod(F.xxhash64(F.col(group).cast("string"), "pos", F.lit(seed)), F.col("n"))
-    sample = df.filter(draw < GROUP_SAMPLE).select(group, F.col(value).alias("value"), "n", "pos")
+    # A row enters a tree when the tree's hash of it falls into a share of about TREE_SAMPLE rows of its group.
+    key = F.xxhash64(F.col(group).cast("string"), "pos", F.lit(seed))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: F.pmod(F.xxhash64(key, tree), F.col("n")) < TREE_SAMPLE)
+    sample = df.select(group, F.col(value).alias("value"), "n", "pos", F.explode(drawn).alias("tree"))
     schema = T.StructType(
         [
             df.schema[group],
@@ -90,9 +91,10 @@ def isolation_scores(df: DataFrame, group: str, value: str = "kwh", seed: int =
     )
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        values = pdf.sort_values("pos")["value"].to_numpy(dtype=float)
-        edges, depths = grow_forest(values, seed)
-        unit = expected_depth(min(TREE_SAMPLE, len(values)))
+        samples = [part["value"].to_numpy(dtype=float) for _, part in pdf.sort_values(["tree", "pos"]).groupby("tree")]
+        size = int(min(TREE_SAMPLE, pdf["n"].iloc[0]))
+        edges, depths = grow_forest(samples, seed, size)
+        unit = expected_depth(size)
         return pd.DataFrame({group: [pdf[group].iloc[0]], "edges": [edges], "depths": [depths], "unit": [unit]})
 
     forests = sample.groupBy(group).applyInPandas(fit, schema)

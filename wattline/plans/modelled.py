@@ -574,7 +574,7 @@ def benchmark_models(spark, folder):
 
 @query("FOR3")
 def lag_regression(spark, folder):
-    return FC.lag_regression(I.source_series(spark, folder), "source", folds=2)
+    return FC.lag_regression(I.source_series(spark, folder), "source")
 
 
 @query("FOR4")
