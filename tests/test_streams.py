@@ -1,11 +1,14 @@
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from wattline.operators import rollups as R
 from wattline.operators import star as ST
 from wattline.plans import inputs as I
+from wattline.session import passing, scratch_path, settled
 from wattline.sinks import tables as K
 from wattline.sources import readings as SR
 from wattline.streaming import jobs as J
@@ -89,6 +92,20 @@ def test_dual_write_is_repeatable(spark, tmp_path):
     assert back.exceptAll(rows.select(*back.columns)).count() == 0
 
 
+def test_batches_leave_no_scratch_tables(spark, tmp_path):
+    base = Path(scratch_path(spark, "probe").removeprefix("file:")).parent
+    there = lambda: set(base.iterdir()) if base.exists() else set()
+    rows, before = I.readings(spark, SF), there()
+    write = J.dual_writer(str(tmp_path / "star"))
+    for batch_id, part in enumerate([rows.filter("time < '2024-01-10'"), rows.filter("time >= '2024-01-10'")]):
+        write(part, batch_id)
+        assert there() == before
+    with pytest.raises(RuntimeError), passing(spark):
+        assert settled(rows, "lost").count() == 1000 and there() != before
+        raise RuntimeError
+    assert there() == before
+
+
 def test_detection_stream_reports_each_reading_once(spark, tmp_path):
     def run():
         rows = SR.readings_from_messages(SR.read_messages(spark, folder=str(tmp_path / "in")))

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,10 +56,34 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Per thread, the paths handed out inside each open ``passing`` block.
+_open = threading.local()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder, in one subfolder per application."""
     app = spark.sparkContext.applicationId
-    return f"{shared_dir(spark).rstrip('/')}/wattline-{app}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/wattline-{app}/{name}-{uuid.uuid4().hex}"
+    if blocks := getattr(_open, "blocks", None):
+        blocks[-1].append(path)
+    return path
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end of the block, failed or not, what was stored inside it.
+
+    For micro-batches: whatever is to last must be written elsewhere inside the block. A DataFrame over a deleted
+    table cannot be used afterwards.
+    """
+    _open.blocks = [*getattr(_open, "blocks", []), []]
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in _open.blocks.pop():
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(hadoop).delete(path, True)
 
 
 def sized(df: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from wattline.operators.rollups import REFRESH_POLICIES, rollup_columns
 from wattline.operators.series import global_index
 from wattline.operators.star import build_fact_readings, resolve_keys, source_code
 from wattline.schema import READING_COLUMNS
+from wattline.session import passing
 from wattline.sinks.tables import first_per_key, time_chunk
 from wattline.sources.readings import readings_from_messages, unreadable_messages
 
@@ -111,10 +112,15 @@ def dual_writer(out: str) -> Callable[[DataFrame, int], None]:
     """Batch function writing readings and star-schema facts side by side.
 
     Each batch owns one folder per table and overwrites it when repeated; new meters and sources get their
-    keys against the members of earlier batches only, so a repeat assigns the same ones.
+    keys against the members of earlier batches only, so a repeat assigns the same ones. Intermediate tables go
+    with the batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        with passing(batch.sparkSession):
+            store(batch, batch_id)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         legacy = _batch_path(f"{out}/readings", batch_id)
         batch.select(*READING_COLUMNS).write.mode("overwrite").parquet(legacy)
@@ -164,8 +170,9 @@ def detect_job(
         if lo is None:
             return
         stored = spark.read.parquet(f"{out}/readings").filter(F.col("batch_id") <= batch_id).drop("batch_id")
-        found = residual_zscore(stored, predictions, lo, threshold)
-        found.write.mode("overwrite").parquet(_batch_path(f"{out}/events", batch_id))
+        with passing(spark):
+            found = residual_zscore(stored, predictions, lo, threshold)
+            found.write.mode("overwrite").parquet(_batch_path(f"{out}/events", batch_id))
 
     writer = readings.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return _start(writer, available_now)
