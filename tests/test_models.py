@@ -1,4 +1,8 @@
+import os
+import subprocess
+import sys
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,6 +17,7 @@ from wattline.operators.reconstruction import reconstruction_flags
 from wattline.operators.series import index_series
 from wattline.session import settled
 
+ROOT = Path(__file__).resolve().parent.parent
 START = datetime(2023, 1, 1)
 READINGS = "time timestamp, meter_id string, kwh double, is_anomaly boolean, source string"
 
@@ -241,3 +246,18 @@ def test_unnamed_group_is_a_group(spark):
         assert W.znorm(placed, "source").count() == 120 and J.inject_drift(placed.withColumn("anomaly_type", F.lit("")), "source").count() == 120
     assert P.box_stats(frame).count() == 2
     assert exact_quantiles(frame, "source", "kwh", {"q": 0.5}).count() == 2
+
+
+def test_workers_get_the_package(tmp_path):
+    """Started elsewhere, with the package on the driver's path only, a query with Python functions runs."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"import sys\nsys.path.insert(0, {str(ROOT)!r})\n"
+        "from wattline.plans import REGISTRY\nfrom wattline.session import build_session, ship\n"
+        "spark = build_session(master='local[2]', spark__ui__enabled='false', spark__sql__shuffle__partitions=2)\n"
+        "ship(spark)\n"
+        "print('rows', REGISTRY['isolation_flags'].job(spark, '/root/testdata/sf0.001').count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=240)
+    assert "rows 868" in done.stdout, done.stderr[-1500:]

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; needless where it is installed on all machines."""
+    package = Path(__file__).parent
+    archive = f"{tempfile.mkdtemp(prefix='wattline-ship-')}/{package.name}"
+    spark.sparkContext.addPyFile(shutil.make_archive(archive, "zip", package.parent, package.name))
+
+
 def one_machine(master: str) -> bool:
     """Whether a master runs everything in one process (``local-cluster`` does not)."""
     return master == "local" or master.startswith("local[")
