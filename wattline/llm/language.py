@@ -2,10 +2,15 @@
 
 A text is the bag of its letter 1-, 2- and 3-grams (lower case; whatever is not a letter is one blank), hashed to ``DIMS``
 dimensions, weighted by TF-IDF and scaled to length one. Each language has up to ``CENTROIDS`` centroids from spherical
-k-means; the language of the most similar centroid wins. A text further from every centroid than nearly all training
-texts were from their own language's is rejected.
+k-means; the language of the most similar centroid wins.
 
-The classifier is fitted on the driver from a bounded sample: about ``SAMPLE`` texts per language.
+Similarity grows with the number of different grams, so each language has a limit for every doubling of that number: what
+all but ``OUTLIERS`` of the passages of that band, cut from training texts, reach towards their own language. A text below
+the limit of its language and band is rejected. Where a language has too few passages for the quantile, those of all
+languages set the limit, and where these are too few, too, the limit of the band below holds.
+
+The classifier is fitted on the driver from a bounded sample: about ``SAMPLE`` texts per language. The passages are
+compared by the workers.
 """
 
 from __future__ import annotations
@@ -13,16 +18,18 @@ from __future__ import annotations
 import functools
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import annotated, schema, stratified
+from wattline.session import settled
 
 DIMS = 4096
 CENTROIDS = 3
 SAMPLE = 600
-#: Rejected below this share of the similarity that all but ``OUTLIERS`` of the training texts reach.
-SLACK, OUTLIERS = 0.4, 0.002
+#: The share of training passages below the limit of their language and band; the number of bands.
+OUTLIERS, BANDS = 0.002, 13
 UNKNOWN = "und"
 FIELDS = "lang_pred string, score double, rejected boolean"
 
@@ -56,6 +63,23 @@ def matrix(texts: list) -> tuple[np.ndarray, np.ndarray]:
     return rows, there
 
 
+def bands(rows: np.ndarray) -> np.ndarray:
+    """How often the number of different grams of each row can be halved."""
+    return np.maximum(np.frexp((rows > 0).sum(axis=1))[1] - 1, 0)
+
+
+def passages(text: str) -> list[str]:
+    """The text, and two passages of each doubling of the length, from the start of a word a third and two thirds in."""
+    out = [text]
+    for size in (1 << k for k in range(BANDS)):
+        if size > len(text):
+            break
+        for third in (1, 2):
+            start = text.rfind(" ", 0, (len(text) - size) * third // 3 + 1) + 1
+            out.append(text[start : start + size])
+    return out
+
+
 def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
 
@@ -81,18 +105,36 @@ class Model:
         parts = [clusters(rows[labels_at == k], CENTROIDS) for k in range(len(order))]
         self.names = [name for name, part in zip(order, parts, strict=True) for _ in part]
         self.centres = np.vstack(parts).T.astype(np.float32)
-        own = np.array([[name == label for name in self.names] for label in labels])
-        near = np.where(own, rows @ self.centres, -1).max(axis=1)
-        self.least = float(SLACK * np.quantile(near, OUTLIERS))
+        self.least = np.zeros((len(self.names), BANDS))
+
+    def near(self, rows: np.ndarray) -> np.ndarray:
+        return unit(rows * self.idf) @ self.centres
+
+    def reached(self, text: str, lang: str) -> tuple[list[int], list[float]]:
+        """The bands of a training text's passages and their similarities to its language."""
+        rows, there = matrix(passages(text))
+        own = [k for k, name in enumerate(self.names) if name == lang]
+        if not there.any() or not own:
+            return [], []
+        return bands(rows[there]).tolist(), self.near(rows[there])[:, own].max(axis=1).tolist()
+
+    def limit(self, found: dict[tuple[str | None, int], tuple[int, float]]) -> None:
+        """Set the limits from the passages and their quantile by language (None: all languages) and band."""
+        enough = min(1 / OUTLIERS, max((n for (name, _), (n, _) in found.items() if name is None), default=0))
+        for k, name in enumerate(self.names):
+            for b in range(BANDS):
+                known = [x for x in (found.get((name, b)), found.get((None, b))) if x and x[0] >= enough]
+                self.least[k, b] = known[0][1] if known else self.least[k, b - 1] if b else 0.0
 
     def predict(self, texts: list) -> list[list]:
         rows, there = matrix(texts)
-        near = unit(rows * self.idf) @ self.centres
+        near = self.near(rows)
         best, score = near.argmax(axis=1), np.clip(near.max(axis=1), 0, 1).astype(float)
+        far = ~there | (score < self.least[best, bands(rows)])
         return [
             [self.names[k] if ok else UNKNOWN for k, ok in zip(best, there, strict=True)],
             [float(s) if ok else 0.0 for s, ok in zip(score, there, strict=True)],
-            [bool(not ok or s < self.least) for s, ok in zip(score, there, strict=True)],
+            far.tolist(),
         ]
 
 
@@ -104,6 +146,7 @@ def held_out(id_col: str = "doc_id"):
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> Model | None:
     """Fit from about ``sample`` texts per language; None if no row has a language and a letter."""
     rows = stratified(train.filter(F.col(text).isNotNull()).select(id_col, lang, text), lang, id_col, sample)
+    rows = settled(rows, "sample")
 
     def start():
         def made(texts: list) -> list[list]:
@@ -118,7 +161,25 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
         return None
     got = got.sort_by([(id_col, "ascending"), (lang, "ascending")])
     values = np.stack([np.frombuffer(x, np.float16) for x in got["grams"].to_pylist()]).astype(np.float32)
-    return Model(values, got[lang].to_pylist())
+    model = Model(values, got[lang].to_pylist())
+    model.limit(limits(rows, model, text, lang))
+    return model
+
+
+def limits(rows: DataFrame, model: Model, text: str, lang: str) -> dict[tuple[str | None, int], tuple[int, float]]:
+    """By language (None: all languages) and band: the passages of the sample, and what all but ``OUTLIERS`` of them reach."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def compared(batches):
+        for batch in batches:
+            for name, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                at, near = shared.value.reached(whole, name)
+                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(near, pa.float64())], ["lang", "band", "near"])
+
+    each = rows.select(F.col(lang).alias("lang"), F.col(text).alias("t")).mapInArrow(compared, "lang string, band int, near double")
+    counted = each.rollup("band", "lang").agg(F.count(F.lit(1)), F.percentile("near", F.lit(OUTLIERS)))
+    found = counted.filter("band IS NOT NULL").collect()  # a row per language and band
+    return {(name, b): (n, least) for b, name, n, least in found}
 
 
 def predicted(docs: DataFrame, model: Model | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
