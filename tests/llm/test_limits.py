@@ -2,9 +2,9 @@
 
 import random
 
-import pytest
+from pyspark.sql import functions as F
 
-from wattline.llm import language
+from wattline.llm import language, quality
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 SOUNDS = {
@@ -38,3 +38,28 @@ def test_foreign_texts_and_gibberish_are_rejected_at_every_length(spark):
     rejected = {r["doc_id"] for r in language.predicted(test, model).filter("rejected").collect()}
     assert set(range(len(clean), len(clean) + len(alien))) <= rejected
     assert len(rejected & set(range(len(clean)))) <= 2
+
+
+def test_texts_without_common_words_and_menus_are_not_kept(spark):
+    """Fixed limits kept every text without a single common word, however long; menus differ from prose in nothing else."""
+    rng = random.Random(22)
+
+    def prose(n, lang, common=0.4):
+        return " ".join(rng.choice(quality.COMMON[lang]) if rng.random() < common else word(rng, lang) + rng.choice("xyz") for _ in range(n))
+
+    def menu(n, lang):
+        return " | ".join(word(rng, lang) + rng.choice("xyz") for _ in range(n))
+
+    lengths = (200, 400, 900)
+    clean = [(prose(n + rng.randint(0, 50), lang), lang) for n in lengths for lang in SOUNDS for _ in range(70)]
+    clean += [(prose(1500, "en"), "en"), (prose(160, "de"), None), (prose(60, "en"), "en")]
+    bad = [(prose(n, lang, 0), lang) for n in lengths for lang in SOUNDS for _ in range(5)]
+    bad += [(menu(n, lang), lang) for n in lengths for lang in SOUNDS for _ in range(5)]
+    bad += [(letters(rng, n), "en") for n in lengths]
+    table = spark.createDataFrame([(i, t, lang, "s", 1) for i, (t, lang) in enumerate(clean + bad)], DOCS)
+    got = quality.ruled(table)
+    assert got.filter("base_failed").count() == 0
+    assert got.filter("words_distance > 0.5 OR chars_distance > 0.3").count() == 0  # the fixed limits
+    kept = {r["doc_id"] for r in got.filter(F.col("kept")).collect()}
+    assert [t for i, (t, _) in enumerate(bad, len(clean)) if i in kept] == []
+    assert len(set(range(len(clean))) - kept) <= 3

@@ -4,6 +4,11 @@ Each document gives two histograms: characters by class, and words by common wor
 references are the mean histograms of the documents of each language, over all documents. A document is kept if, for
 some language, both Jensen-Shannon distances are small enough; short documents pass, their histograms say little.
 Documents that fail the plain base rules are not kept.
+
+Distances fall with length, so the limits go by language and length (half doublings of the words): the median of all
+documents of that language and length and ``SPREADS`` times the way from the lower quartile to it. The upper half, where
+the bad documents are, has no say, whatever their share. With few documents of a length those of all languages count
+together, and with few of these, too, the limit of the next shorter length holds.
 """
 
 from __future__ import annotations
@@ -25,9 +30,11 @@ COMMON = {
 }
 VOCABULARY = sorted({w for words in COMMON.values() for w in words})
 SYMBOLS = "#*$%&|<>"
-#: Guards and limits: distances are judged from so many words on; the largest distances of a kept document.
+#: Guards and limits: distances are judged from so many words on; the largest distances where there are too few documents.
 GUARD = 100
 CHARS, WORDS = 0.30, 0.50
+#: The limit in ways from the lower quartile to the median, the least such way, and the documents that a limit needs.
+SPREADS, WAY, ENOUGH = 6, 0.01, 50
 
 MIN_WORDS, REPEATED = 50, 50
 
@@ -140,7 +147,8 @@ def ruled(
     """``carry`` columns, the base counts, ``base_failed``, the two distances to the nearest language, and ``kept``.
 
     One row per row. Null and empty texts have no words: all counts 0, base failed. Null languages, and those without
-    a word list, teach nothing but are judged alike. Windows of three words are compared by 64-bit hashes. Without any
+    a word list, teach nothing but are judged alike. ``chars`` and ``words`` are the limits where too few documents are
+    as short. Windows of three words are compared by 64-bit hashes. Without any
     reference the distances are null and only the base rules decide. Carried columns named like a new one are replaced.
     """
     new = "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed chars_distance words_distance kept".split()
@@ -150,14 +158,46 @@ def ruled(
     rows = measured(renamed, "_t", [*own, "_lang"])
     rows = settled(rows.withColumns({"chars": shares("chars"), "words": shares("words")}), "measured")
     found = references(rows, "_lang")
+    known = sorted(found)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEATED * F.col("n_words"))
-    nearest = lambda kind: (
-        F.array_min(F.array(*[distance(F.col(kind), found[x][kind]) for x in sorted(found)])) if found else F.lit(None).cast("double")
-    )
-    fits = F.lit(True) if not found else (F.col("chars_distance") <= chars) & (F.col("words_distance") <= words)
+    judges = (F.col("n_words") >= guard) & ~failed
+    each = lambda kind: F.array(*[distance(F.col(kind), found[x][kind]) for x in known]) if known else F.lit(None).cast("array<double>")
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    judged = rows.select(
+    rows = rows.select(
+        *own, "_lang", *counts, failed.alias("base_failed"), judges.alias("judged"), size_band(F.col("n_words")).alias("band"), each("chars").alias("c"), each("words").alias("w")
+    )
+    rows = settled(rows, "distances")
+    most = limits(rows.filter("judged"), known, {"c": chars, "w": words})
+    fits = F.lit(not known)
+    for k in range(len(known)):
+        fits = fits | reduce(lambda x, y: x & y, [F.get(kind, F.lit(k)) <= most[kind][k] for kind in ("c", "w")])
+    return rows.select(
         *[F.col(o).alias(c) for c, o in zip(carry, own, strict=True)],
-        *counts, failed.alias("base_failed"), nearest("chars").alias("chars_distance"), nearest("words").alias("words_distance"),
+        *counts, "base_failed", F.array_min("c").alias("chars_distance"), F.array_min("w").alias("words_distance"),
+        (~F.col("base_failed") & ((F.col("n_words") < guard) | fits)).alias("kept"),
     )
-    return judged.withColumn("kept", ~F.col("base_failed") & ((F.col("n_words") < guard) | fits))
+
+
+def size_band(n_words: Column) -> Column:
+    return F.floor(2 * F.log2(F.greatest(n_words, F.lit(1)).cast("double"))).cast("int")
+
+
+def limits(rows: DataFrame, known: list[str], fixed: dict[str, float]) -> dict[str, list[Column]]:
+    """For both distances and each language: the limit at the row's ``band``, from the documents of that language."""
+    place = F.array_position(F.array(*map(F.lit, known)), F.col("_lang")).cast("int") - 1 if known else F.lit(None).cast("int")
+    own = rows.withColumn("_at", place).filter("_at >= 0")
+    quartiles = [F.percentile_approx(F.get(kind, F.col("_at")), F.lit([0.25, 0.5]), F.lit(10_000)).alias(kind) for kind in fixed]
+    told = own.rollup("band", "_at").agg(F.count(F.lit(1)).alias("n"), *quartiles).filter("band IS NOT NULL").collect()  # a row per band and language
+    by_place = {(r["_at"], r["band"]): r for r in told if r["n"] >= ENOUGH}
+    out: dict[str, list[Column]] = {}
+    last = max((r["band"] for r in told), default=0)
+    for kind, start in fixed.items():
+        for k in range(len(known)):
+            now, line = start, []
+            for band in range(last + 1):
+                if found := by_place.get((k, band)) or by_place.get((None, band)):
+                    low, middle = found[kind]
+                    now = middle + SPREADS * max(middle - low, WAY)
+                line.append(F.lit(float(now)))
+            out.setdefault(kind, []).append(F.get(F.array(*line), F.least("band", F.lit(last))))
+    return out
