@@ -12,12 +12,16 @@ components are compared, all of them, inside tasks that give back likely links o
 tokens, large families by counting common shingles, where blocks of the classes outside the most frequent component
 meet the node's other classes one by one. Every link is confirmed on the full shingle sets.
 
-Two classes at the threshold share a node of depth d with probability of at least threshold^d per tree; with the
-settings here and depth 2 a pair of similarity 0.85 is missed by all trees with a chance below 1e-5.
+A pair is found if it shares a final node in some tree. ``missed`` gives the chance that it shares none, for a pair at the
+threshold. With ``TREES`` trees that is 4.6e-6 at depth 2 and 2.7e-3 at depth 6 for 0.85, 1.9e-5 and 6.7e-3 for 0.80. So
+classes that meet in a node that is still large at depth ``FIRST`` get as many trees as keep the chance below ``MISSED`` at
+the last depth.
 """
 
 from __future__ import annotations
 
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -32,6 +36,8 @@ COORDINATES = 64
 TREES = 10
 #: Levels every class goes down before nodes are counted, and levels at which branching ends.
 FIRST, DEPTH = 2, 6
+#: The largest chance to miss a pair at the threshold within a large family, and the trees that may be spent on it.
+MISSED, MOST = 1e-5, 1000
 #: Nodes up to this size are leaves.
 LEAF = 16
 #: Pairs whose minwise tokens agree less than this below the threshold are not confirmed: over 4.5 standard deviations.
@@ -113,13 +119,41 @@ def branches(threshold: float) -> Column:
     return F.explode(F.when(two, both).otherwise(F.array(child(coordinate(1)))))
 
 
+def missed(threshold: float, depth: int, trees: int) -> float:
+    """The chance that a pair at the threshold shares no node of that depth in any tree, over the agreement of its tokens."""
+    two = int(1000 * (1 / threshold - 1)) / 1000 * (1 - 1 / COORDINATES)
+    out = 0.0
+    for equal in range(COORDINATES + 1):
+        chance = comb(COORDINATES, equal) * threshold**equal * (1 - threshold) ** (COORDINATES - equal)
+        together = 1.0
+        for _ in range(depth):
+            one = equal / COORDINATES * together
+            both = equal * max(equal - 1, 0) / (COORDINATES * (COORDINATES - 1)) * together**2
+            together = (1 - two) * one + two * (2 * one - both)
+        out += chance * (1 - together) ** trees
+    return out
+
+
+def trees_for(threshold: float, depth: int, trees: int) -> int:
+    """The trees from ``trees`` on that miss a pair at the threshold with a chance of at most ``MISSED``."""
+    return next((t for t in range(trees, MOST) if missed(threshold, depth, t) <= MISSED), MOST)
+
+
 def nodes(classes: DataFrame, threshold: float, trees: int, leaf: int, first: int, depth: int) -> DataFrame:
-    """``(key, cid, n, pivot)``: the classes of every final node of two or more, its size and its smallest class."""
-    roots = F.explode(F.array(*[F.lit(t) for t in range(trees)])).alias("tree")
-    rows = classes.select("cid", "sig", roots).select("cid", "sig", F.xxhash64("tree").alias("key"))
-    for _ in range(first):
-        rows = rows.select("cid", "sig", branches(threshold).alias("key"))
-    rows = rows.select("key", "cid")
+    """``(key, cid, n, pivot)``: the classes of every final node of two or more, its size and its smallest class.
+
+    Classes in a large node of level ``first`` also go down the further trees of ``trees_for``.
+    """
+
+    def grown(members: DataFrame, some: range, levels: int) -> DataFrame:
+        roots = F.explode(F.array(*[F.lit(t) for t in some])).alias("tree")
+        down = members.select("cid", "sig", roots).select("cid", "sig", F.xxhash64("tree").alias("key"))
+        for _ in range(levels):
+            down = down.select("cid", "sig", branches(threshold).alias("key"))
+        return down.select("key", "cid")
+
+    rows = grown(classes, range(trees), first)
+    further = range(trees, trees_for(threshold, depth, trees))
     final = None
     for level in range(first, depth + 1):
         sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("cid").alias("pivot")).filter("n > 1")
@@ -132,6 +166,8 @@ def nodes(classes: DataFrame, threshold: float, trees: int, leaf: int, first: in
         if wide.isEmpty():
             break
         rows = wide.join(classes.select("cid", "sig"), "cid").select("cid", branches(threshold).alias("key")).select("key", "cid")
+        if level == first and further:
+            rows = rows.union(grown(classes.join(sized(wide.select("cid").distinct()), "cid", "left_semi"), further, first + 1))
     return final
 
 
