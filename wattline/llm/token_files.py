@@ -7,7 +7,8 @@ the place in the whole corpus follows from the files' totals.
 
 The library encodes every distinct unit (a blank and the characters up to the next) once per worker, many at a time;
 texts are put together from the units' ids. A single blank between two other characters always begins a match of the
-pre-splitting pattern, and a single line break between two others is one, so the ids are those of the whole text.
+pre-splitting pattern, and a single line break between two others is one, so the ids are those of the whole text. Texts
+with an added token of the vocabulary (``<|endoftext|>``) are encoded whole, as the library treats these first.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ class Units:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.line = self.ids("\n")
@@ -83,6 +84,9 @@ class Units:
         """The ids of whole texts. Where no two blanks meet, a line break is a match of its own and lines are apart."""
         split, wanted = [], set()
         for text in texts:
+            if any(token in text for token in self.added):
+                split.append(self.ids(text))
+                continue
             if MEETING.search(text):
                 parts = [LONE_BLANK.split(text)]
             else:
@@ -93,7 +97,7 @@ class Units:
             split.append(parts)
         self.learn(wanted)
         known = self.new.__getitem__
-        return [self.line.join([b"".join(map(known, line)) for line in parts]) for parts in split]
+        return [parts if isinstance(parts, bytes) else self.line.join([b"".join(map(known, line)) for line in parts]) for parts in split]
 
 
 @functools.lru_cache(maxsize=2)
