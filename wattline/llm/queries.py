@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattline.llm import bpe, chosen_path, decontaminate, importance, language, pii, quality, token_files, toxicity, warc
+from wattline.llm import (
+    bpe, chosen_path, decontaminate, importance, katz, language, max_sketch, pii, quality, stripes, token_files, toxicity, warc,
+)
 from wattline.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -78,13 +80,33 @@ def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, folder, "documents"), k=3, percent=85)
 
 
+def op11_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's log probability by the model of the training documents, and by single words."""
+    return katz.scored(table(spark, folder, "documents"))
+
+
+def op12_lexical_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents for every benchmark item."""
+    return max_sketch.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of each language are from each other, and the terms that set them apart."""
+    return stripes.divergences(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_byte_bpe, op3_importance, op4_toxicity, op5_divergence, op6_language, op7_personal_data, op8_warc,
-        op9_orc_tokens, op10_near_duplicates,
+        op9_orc_tokens, op10_near_duplicates, op11_katz_backoff, op12_lexical_search, op13_source_divergence,
     )
 }
 
 #: The others have no SQL: learned models, tokenizers, random trees; tests hold them against brute force.
-SQL: dict[str, str] = {"op8_warc": warc.oracle()}
+SQL: dict[str, str] = {
+    "op8_warc": warc.oracle(),
+    "op11_katz_backoff": katz.oracle(),
+    "op12_lexical_search": max_sketch.oracle(),
+    "op13_source_divergence": stripes.oracle(),
+}
