@@ -8,7 +8,7 @@ makes the probabilities of all words after a context sum to 1 exactly: it is wha
 words would have had without the context. An unseen context leaves the word's own probability.
 
 The tables. Words are known by 64-bit hashes. Three passes over the texts count words, count pairs, and score. A task
-folds about two million tokens into sorted arrays and deals them to buckets by context; the pairs of a context that is
+folds about a million tokens into sorted arrays and deals them to buckets by context; the pairs of a context that is
 more frequent than one token in ``HOT`` are dealt by the whole pair. Buckets grow in number with the tokens, and each is
 merged in one piece. All scores are sums over tokens of logarithms rounded to ten decimals, so they do not depend on order.
 
@@ -33,7 +33,7 @@ from wattline.session import settled
 DISCOUNTED = 5
 FREQUENT, HOT, HEAVY = 1 << 17, 1 << 16, 1 << 18
 #: Tokens that a task folds at once, and tokens of a bucket by expectation.
-SLICE, BUCKET = 1 << 21, 1 << 20
+SLICE, BUCKET = 1 << 20, 1 << 20
 #: Logarithms are counted in this fraction.
 UNIT = 10_000_000_000
 
@@ -100,6 +100,9 @@ class Words:
         self.unseen = left_over(seen, self.factors) / (size + 1)
         order = np.argsort(hashes)
         self.hashes, self.counts = hashes[order], counts[order]
+        self.by_count = np.argsort(-self.counts, kind="stable")
+        self.rank = np.empty(len(hashes), np.uint32)
+        self.rank[self.by_count] = np.arange(len(hashes))
         self.weights = np.zeros(len(hashes), np.int64)
 
     def place(self, hashes: np.ndarray) -> np.ndarray:
@@ -125,40 +128,63 @@ class Words:
         return ((key * _MIX) >> np.uint64(33)).astype(np.int64) % buckets
 
 
-def packed(*columns: np.ndarray) -> bytes:
-    return pa.Codec("zstd", compression_level=1).compress(b"".join(c.tobytes() for c in columns), asbytes=True)
+    def code(self, hashes: np.ndarray) -> list[np.ndarray]:
+        """Ranks of the frequent words, a rank beyond the last for others, and the hashes of those."""
+        at = self.place(hashes)
+        return [np.where(at >= 0, self.rank[at], np.uint32(len(self.rank))).astype(np.uint32), hashes[at < 0]]
+
+    def decode(self, ranks: np.ndarray, rare: np.ndarray) -> np.ndarray:
+        out = np.empty(len(ranks), np.uint64)
+        known = ranks < len(self.rank)
+        out[known] = self.hashes[self.by_count[ranks[known]]]
+        out[~known] = rare
+        return out
 
 
-def unpacked(blob: bytes, n: int, kinds: tuple) -> list[np.ndarray]:
-    sizes = [np.dtype(k).itemsize * n for k in kinds]
-    raw = pa.Codec("zstd").decompress(blob, sum(sizes), asbytes=True)
-    return [np.frombuffer(raw, k, n, sum(sizes[:i])) for i, k in enumerate(kinds)]
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of any lengths; first the lowest bytes of all numbers of a column, then the next, which compresses better."""
+    planes = [np.ascontiguousarray(c.view(np.uint8).reshape(len(c), -1).T).tobytes() if len(c) else b"" for c in columns]
+    head = np.array([[len(c), c.itemsize] for c in columns], np.int64).tobytes()
+    raw = b"".join([head, *planes])
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def unpacked(blob: bytes, kinds: tuple) -> list[np.ndarray]:
+    raw = pa.Codec("zstd").decompress(blob[8:], int.from_bytes(blob[:8], "little"), asbytes=True)
+    out, at = [], 16 * len(kinds)
+    for (n, size), kind in zip(np.frombuffer(raw, np.int64, 2 * len(kinds)).reshape(-1, 2).tolist(), kinds, strict=True):
+        planes = np.frombuffer(raw, np.uint8, n * size, at).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).reshape(-1).view(kind))
+        at += n * size
+    return out
 
 
-DEALT = "bucket int, n int, first bigint, payload binary"
+DEALT = "bucket int, first bigint, payload binary"
 
 
-def dealt(bucket: np.ndarray, columns: list[np.ndarray], first: int = 0) -> pa.RecordBatch:
-    """One row per bucket with its part of all columns, packed."""
+def dealt(bucket: np.ndarray, columns: list[np.ndarray], first: int = 0, words: Words | None = None) -> pa.RecordBatch:
+    """One row per bucket with its part of all columns, packed; with ``words`` the first two columns are their hashes."""
     order = np.argsort(bucket, kind="stable")
-    bucket, columns = bucket[order], [c[order] for c in columns]
+    bucket = bucket[order]
     starts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else np.zeros(0, np.int64)
     ends = np.append(starts[1:], len(bucket))
-    blobs = [packed(*[c[a:b] for c in columns]) for a, b in zip(starts, ends, strict=True)]
+    blobs = []
+    for a, b in zip(starts, ends, strict=True):
+        own = [c[order[a:b]] for c in columns]
+        blobs.append(packed(*own) if words is None else packed(*words.code(own[0]), *words.code(own[1]), *own[2:]))
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(bucket[starts], pa.int32()), pa.array(ends - starts, pa.int32()),
-            pa.array([first] * len(starts), pa.int64()), pa.array(blobs, pa.binary()),
-        ],
-        names=["bucket", "n", "first", "payload"],
-    )
+        [pa.array(bucket[starts], pa.int32()), pa.array([first] * len(starts), pa.int64()), pa.array(blobs, pa.binary())],
+        names=["bucket", "first", "payload"],
+    )
 
 
-def collected(table: pa.Table, kinds: tuple) -> list[np.ndarray]:
-    """The columns of all rows of a bucket, and the first row number of each entry."""
-    sizes = table["n"].to_numpy()
-    parts = [unpacked(blob, n, kinds) for blob, n in zip(table["payload"].to_pylist(), sizes.tolist(), strict=True)]
-    return [np.concatenate(c) for c in zip(*parts, strict=True)] + [np.repeat(table["first"].to_numpy(), sizes)]
+def collected(table: pa.Table, kinds: tuple, words: Words) -> list[np.ndarray]:
+    """Both hashes and the columns of all rows of a bucket, and the first row number of each entry."""
+    parts = []
+    for blob, first in zip(table["payload"].to_pylist(), table["first"].to_pylist(), strict=True):
+        v, rare_v, w, rare_w, *rest = unpacked(blob, (np.uint32, np.uint64, np.uint32, np.uint64, *kinds))
+        parts.append([words.decode(v, rare_v), words.decode(w, rare_w), *rest, np.full(len(v), first)])
+    return [np.concatenate(c) for c in zip(*parts, strict=True)]
 
 
 def same_pairs(v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,8 +238,7 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
-PAIRS = (np.uint64, np.uint64, np.uint32)
-ENTRIES = (np.uint64, np.uint64, np.uint32, np.uint32)
+PAIRS, ENTRIES = (np.uint32,), (np.uint32, np.uint32)
 
 
 def pair_statistics(train: DataFrame, words: Words, buckets: int, heavy: int = HEAVY) -> DataFrame:
@@ -237,11 +262,11 @@ def pair_statistics(train: DataFrame, words: Words, buckets: int, heavy: int = H
             v[np.concatenate([[0], ends[:-1]])] = start
             pairs, counts = np.unique(v.astype(np.int64) * n + w, return_counts=True)
             v, w = known[pairs // n], known[pairs % n]
-            yield dealt(model.buckets(v, w, buckets), [v, w, counts.astype(np.uint32)])
+            yield dealt(model.buckets(v, w, buckets), [v, w, counts.astype(np.uint32)], words=model)
 
     def merge(table: pa.Table) -> pa.Table:
         model = sent.value
-        v, w, c, _ = collected(table, PAIRS)
+        v, w, c, _ = collected(table, PAIRS, model)
         order, starts = same_pairs(v, w)
         v, w, c = v[order][starts], w[order][starts], np.add.reduceat(c[order].astype(np.int64), starts)
         rows = []
@@ -334,7 +359,7 @@ def partial_scores(docs: DataFrame, words: Words, factors: np.ndarray, heavy: pa
             en = np.concatenate([often[rest], times]).astype(np.uint32)
             eo = np.concatenate([owner[rest], single % many])
             row = task + first
-            yield dealt(model.buckets(ev, ew, buckets), [ev, ew, en, (eo * 2 + marked[eo]).astype(np.uint32)], row)
+            yield dealt(model.buckets(ev, ew, buckets), [ev, ew, en, (eo * 2 + marked[eo]).astype(np.uint32)], row, model)
             ids = np.array([i or 0 for i, _ in rows], np.int64)
             flags = np.array([2 * (i is None) + bool(held) for i, held in rows], np.int64)
             yield dealt(np.full(many, -1 - row % buckets), [ids, flags, sizes, score, base, found], row)
@@ -342,15 +367,15 @@ def partial_scores(docs: DataFrame, words: Words, factors: np.ndarray, heavy: pa
     def merge(table: pa.Table) -> pa.Table:
         model, d, _ = sent.value
         if table["bucket"][0].as_py() < 0:
-            kinds = (np.int64,) * 6
             parts = []
-            for blob, n, first in zip(*(table[c].to_pylist() for c in ("payload", "n", "first")), strict=True):
-                ids, flags, sizes, score, base, found = unpacked(blob, n, kinds)
+            for blob, first in zip(table["payload"].to_pylist(), table["first"].to_pylist(), strict=True):
+                ids, flags, sizes, score, base, found = unpacked(blob, (np.int64,) * 6)
+                n = len(ids)
                 row, zero = first + np.arange(n), np.zeros(n, np.int64)
                 parts.append(_rows(row, 1, pa.array(ids, mask=flags >= 2), sizes, flags % 2, zero))
                 parts.append(_rows(row, 0, pa.nulls(n, pa.int64()), score, base, found))
             return pa.concat_tables(parts)
-        v, w, n, owner, first = collected(table, ENTRIES)
+        v, w, n, owner, first = collected(table, ENTRIES, model)
         n, row, train = n.astype(np.int64), first + (owner >> 1), (owner & 1).astype(np.int64)
         order, starts = same_pairs(v, w)
         counts = np.empty(len(v), np.int64)
