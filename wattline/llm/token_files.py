@@ -140,6 +140,11 @@ def write(docs: DataFrame, vocabulary: str, folder: str, text: str = "text", id_
     )
 
 
+def file_number(name: str) -> int:
+    """The number of the task that wrote a file; names sort by it only up to five digits."""
+    return int(re.match(r"part-(\d+)-", name)[1])
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids``: ``start`` counts the ids of all documents before, over all files.
 
@@ -147,7 +152,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     """
     stored = spark.read.schema("doc_id bigint, in_file bigint, n_tokens bigint, ids array<int>").orc(folder)
     stored = stored.select("*", F.col("_metadata.file_name").alias("file"))
-    totals = sorted(stored.groupBy("file").agg(F.max(F.col("in_file") + F.col("n_tokens"))).collect())
+    totals = stored.groupBy("file").agg(F.max(F.col("in_file") + F.col("n_tokens"))).collect()
+    totals = sorted(totals, key=lambda row: file_number(row[0]))
     starts = [0, *accumulate(total for _, total in totals)]
     before = spark.createDataFrame([(name, at) for (name, _), at in zip(totals, starts, strict=False)], "file string, before bigint")
     start = (F.col("before") + F.col("in_file")).alias("start")

@@ -5,7 +5,8 @@ probabilities of the categories before it. In training those come from models fi
 models meet earlier probabilities as uncertain as they will be on new texts.
 
 Features are the words (lower case) and word beginnings that tell a category's positives from its negatives most
-clearly in the training sample. Labelled rows are sampled: about ``SAMPLE`` per combination of categories; weights
+clearly in the training sample. Each category has an equal part of ``FEATURES``, so that one that many features tell
+leaves room for the others. Labelled rows are sampled: about ``SAMPLE`` per combination of categories; weights
 restore the true shares. Models are fitted on the driver from that bounded sample.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.llm.common import annotated, schema, share, stratified
+from wattline.session import settled
 
 SAMPLE = 1500
 FEATURES, LEAST = 600, 5
@@ -44,21 +46,35 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE, rounds: int = 150) -> np.ndarray:
-    """Weights (the bias last) by accelerated gradient steps."""
+def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = RIDGE, rounds: int = 30) -> np.ndarray:
+    """Weights (the bias last) by Newton steps, halved while they do not help.
+
+    Second-order steps find rare features' weights however many features other rows have.
+    """
     x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
-    total = weight.sum()
-    v = np.ones(x.shape[1], x.dtype)
-    for _ in range(12):  # the curvature along its steepest direction bounds the step
-        v = x.T @ ((x @ v) * weight)
-        v /= np.linalg.norm(v)
-    rate = 1 / (0.25 * np.linalg.norm(x.T @ ((x @ v) * weight)) / total + ridge / total)
-    w, ahead, t = np.zeros(x.shape[1]), np.zeros(x.shape[1]), 1.0
+    penalty = np.full(x.shape[1], ridge)
+    penalty[-1] = 1e-9
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float(weight @ (np.logaddexp(0, z) - y * z) + 0.5 * penalty @ w**2)
+
+    w = np.zeros(x.shape[1])
+    now = loss(w)
     for _ in range(rounds):
-        slope = x.T @ ((sigmoid(x @ ahead) - y) * weight) / total + ridge / total * np.append(ahead[:-1], 0)
-        new = ahead - rate * slope
-        following = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        w, ahead, t = new, new + (t - 1) / following * (new - w), following
+        p = sigmoid(x @ w)
+        curve = (x.T * (weight * p * (1 - p))) @ x
+        step = np.linalg.solve(curve + np.diag(penalty + 1e-9), x.T @ (weight * (p - y)) + penalty * w)
+        before = now
+        for _ in range(20):
+            if (now := loss(w - step)) <= before:
+                break
+            step /= 2
+        else:
+            return w
+        w = w - step
+        if before - now <= 1e-9 * max(1.0, before):
+            break
     return w
 
 
@@ -97,9 +113,10 @@ class Chain:
 
 
 def sampled(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], text: str, id_col: str, most: int) -> DataFrame:
-    """``id, combo, weight, fold, t``: a bounded sample of labelled texts. Ids labelled more than once take the largest
-    label; rows with a null label or text teach nothing."""
-    known = labels.groupBy(F.col(id_col).alias("id")).agg(*[F.max(c.cast("int")).alias(n) for n, c in categories.items()])
+    """``id, combo, weight, fold, t``: a bounded sample of labelled texts. Ids labelled more than once take the label that
+    most rows give, on a tie that the category holds; rows with a null label or text teach nothing."""
+    vote = lambda c: (F.avg(c.cast("int")) >= 0.5).cast("int")
+    known = labels.groupBy(F.col(id_col).alias("id")).agg(*[vote(c).alias(n) for n, c in categories.items()])
     combo = F.concat(*[F.col(n).cast("string") for n in categories]).alias("combo")
     known = known.filter(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in categories])).select("id", combo)
     counts = known.groupBy("combo").count().withColumn("weight", F.greatest(F.col("count") / most, F.lit(1.0))).select("combo", "weight")
@@ -111,7 +128,7 @@ def sampled(docs: DataFrame, labels: DataFrame, categories: dict[str, Column], t
 
 
 def vocabulary_of(sample: DataFrame, n: int) -> list[str]:
-    """Features with the clearest difference between positives and negatives of any category."""
+    """For each category its part of ``n`` features: those with the clearest difference between positives and negatives."""
 
     def counted(batches):
         sums: dict[str, Counter] = {}
@@ -124,21 +141,20 @@ def vocabulary_of(sample: DataFrame, n: int) -> list[str]:
 
     sizes = {r[0]: r[1] for r in sample.groupBy("combo").count().collect()}  # a row per combination
     each = sample.select("combo", "t").mapInArrow(counted, "combo string, feature string, n bigint")
-    each = each.groupBy("feature").pivot("combo", sorted(sizes)).agg(F.sum("n")).na.fill(0)
-    scores = []
+    each = settled(each.groupBy("feature").pivot("combo", sorted(sizes)).agg(F.sum("n")).na.fill(0), "features")
+    total = reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in sizes]) if sizes else F.lit(0)
+    out: dict[str, None] = {}
+    part = n // max(len(next(iter(sizes), "")), 1)
     for k in range(len(next(iter(sizes), ""))):
         on, off = [c for c in sizes if c[k] == "1"], [c for c in sizes if c[k] != "1"]
         if on and off:
             add = lambda cs: reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in cs]) + F.lit(0.5)
             p, q = add(on), add(off)
             a, b = sum(sizes[c] for c in on) + 1, sum(sizes[c] for c in off) + 1
-            scores.append(F.abs(F.log(p / (a - p)) - F.log(q / (b - q))) / F.sqrt(1 / p + 1 / q))
-    if not scores:
-        return []
-    total = reduce(lambda a, b: a + b, [F.col(f"`{c}`") for c in sizes])
-    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    ranked = each.filter(total >= LEAST).select("feature", best.alias("score")).orderBy(F.desc("score"), "feature").limit(n)
-    return [r[0] for r in ranked.collect()]
+            score = F.abs(F.log(p / (a - p)) - F.log(q / (b - q))) / F.sqrt(1 / p + 1 / q)
+            ranked = each.filter(total >= LEAST).select("feature", score.alias("score")).orderBy(F.desc("score"), "feature").limit(part)
+            out |= dict.fromkeys(r[0] for r in ranked.collect())  # n rows
+    return list(out)
 
 
 def fit(
