@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattline.functions.text import severity
-from wattline.operators.series import SERIES_BLOCK, index_series
+from wattline.operators.series import SERIES_BLOCK, index_series, matched
 from wattline.operators.windows import rolling_median_mad, rolling_std, seasonal_residual
 
 
@@ -116,7 +116,7 @@ def attach_forecast(readings: DataFrame, forecasts: DataFrame, group: str) -> Da
         F.col("_best.horizon_step").alias("horizon_step"),
         F.col("_best.model_type").alias("model_type"),
     )
-    return readings.join(best, [group, "time"], "left").withColumn("covered", F.col("forecast").isNotNull())
+    return matched(readings, best, [group, "time"], "left").withColumn("covered", F.col("forecast").isNotNull())
 
 
 def forecast_residual_scores(
@@ -162,7 +162,7 @@ def detect(
         from wattline.operators.isolation import isolation_flags
 
         isolated = isolation_flags(df, group, cfg, block=block).select(group, "pos", F.col("flag").alias("_isolated"))
-        found = found.join(isolated, [group, "pos"]).withColumn("flag", F.col("flag") | F.col("_isolated"))
+        found = matched(found, isolated, [group, "pos"]).withColumn("flag", F.col("flag") | F.col("_isolated"))
         found = found.drop("_isolated")
     kept = F.coalesce("is_anomaly", F.lit(False)) if preserve else F.lit(False)
     return found.withColumn("is_anomaly", kept | F.col("flag"))

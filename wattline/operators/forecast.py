@@ -6,10 +6,11 @@ horizon_step, time, actual, forecast, model_type``.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import PySparkException
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -21,6 +22,7 @@ from wattline.operators.blockwise import as_matrix, merge_statistics, per_row, s
 from wattline.operators.score import wape
 from wattline.operators.series import SERIES_BLOCK, block_of, cadence, matched, prefix_sums, shifted, with_context
 from wattline.operators.windows import fourier_terms
+from wattline.schema import FORECASTS
 from wattline.session import settled, sized
 
 NAIVE = "seasonal_naive"
@@ -54,7 +56,7 @@ def fold_plan(df: DataFrame, group: str, horizon_hours: int, folds: int, extra_s
     for ``k`` days of history instead of one season.
     """
     sizes = df.groupBy(group).agg(F.max("n").alias("n"))
-    plan = sizes.join(cadence(df, group, 60), group)
+    plan = matched(sizes, cadence(df, group, 60), group)
     plan = plan.withColumn("horizon", horizon_steps(horizon_hours, F.col("cadence_minutes")))
     plan = plan.withColumn("season", horizon_steps(24, F.col("cadence_minutes")))
     days = (extra_start or {}).get("days", 1)
@@ -113,9 +115,8 @@ def direct_features(df: DataFrame, plan: DataFrame, group: str, block: int = SER
     """
     steps = plan.select(group, "horizon", F.col("season").alias("day")).distinct()
     nearest = F.col("day") * F.ceil(F.col("horizon") / F.col("day"))
-    base = prefix_sums(df, group, {"running": F.col("kwh")}, block).join(
-        steps.withColumn("near", nearest).drop("horizon"), group
-    )
+    base = prefix_sums(df, group, {"running": F.col("kwh")}, block)
+    base = matched(base, steps.withColumn("near", nearest).drop("horizon"), group)
     out = shifted(base, group, F.col("near"), {"lag_1": "kwh", "sum_near": "running"})
     past = base.select(group, "pos", "n", "near", "day", "kwh", "running")
 
@@ -123,10 +124,10 @@ def direct_features(df: DataFrame, plan: DataFrame, group: str, block: int = SER
         return past.select(group, (F.col("pos") + shift).alias("pos"), *[F.col(o).alias(c) for c, o in columns.items()])
 
     day = F.col("near") + F.col("day")
-    out = out.join(look_up(day, {"lag_2": "kwh", "sum_day": "running"}), [group, "pos"])
-    out = out.join(look_up(day + F.col("day"), {"lag_3": "kwh"}), [group, "pos"], "left")
+    out = matched(out, look_up(day, {"lag_2": "kwh", "sum_day": "running"}), [group, "pos"])
+    out = matched(out, look_up(day + F.col("day"), {"lag_3": "kwh"}), [group, "pos"], "left")
     out = out.withColumn("lag_3", F.coalesce("lag_3", "lag_2"))
-    out = out.join(look_up(F.col("near") + 6, {"sum_6": "running"}), [group, "pos"])
+    out = matched(out, look_up(F.col("near") + 6, {"sum_6": "running"}), [group, "pos"])
     out = out.withColumn("mean_day", (F.col("sum_near") - F.col("sum_day")) / F.col("day"))
     out = out.withColumn("mean_6", (F.col("sum_near") - F.col("sum_6")) / 6)
     out = out.withColumns(calendar_features(F.col("time")))
@@ -158,11 +159,10 @@ def lag_regression(
         # The running sum at the last row before the cutoff gives the mean of the history.
         here = plan.filter(F.col("fold") == fold)
         level = (
-            here.withColumn("pos", F.col("cutoff") - 1)
-            .join(features.select(group, "pos", "running"), [group, "pos"])
+            matched(here.withColumn("pos", F.col("cutoff") - 1), features.select(group, "pos", "running"), [group, "pos"])
             .select(group, "fold", "cutoff", "horizon", F.greatest(F.col("running") / F.col("cutoff"), F.lit(1e-9)).alias("level"))
         )
-        rows = features.join(level, group).withColumns({c: F.col(c) / F.col("level") for c in scaled})
+        rows = matched(features, level, group).withColumns({c: F.col(c) / F.col("level") for c in scaled})
         rows = assembler.transform(rows.withColumn("label", F.col("kwh") / F.col("level")))
         train = rows.filter(F.col("pos") < F.col("cutoff"))
         if train.isEmpty():
@@ -216,12 +216,12 @@ def solve_regression(products: np.ndarray, ridge: float) -> tuple:
 def _fit_folds(df: DataFrame, plan: DataFrame, group: str, design: Column, ridge: float, block: int) -> DataFrame:
     """Coefficients per group and fold: rows are summed once per stretch between cutoffs, folds add stretches."""
     ends = sized(plan.groupBy(group).agg(F.array_sort(F.collect_list("cutoff")).alias("_ends")))
-    rows = df.join(ends, group).withColumn("z", F.array_append(design, F.col("kwh")))
+    rows = matched(df, ends, group).withColumn("z", F.array_append(design, F.col("kwh")))
     stretch = F.size(F.filter("_ends", lambda e: e <= F.col("pos")))
     rows = rows.withColumn("stretch", stretch).filter(F.col("stretch") < F.size("_ends"))
     rows = rows.select(group, "stretch", "z", block_of(F.col("pos"), block).alias("_block"))
     sums = summed_products(rows, [group, "stretch"], _stacked)
-    upto = sums.join(plan.select(group, "fold"), group).filter(F.col("stretch") < F.col("fold"))
+    upto = matched(sums, plan.select(group, "fold"), group).filter(F.col("stretch") < F.col("fold"))
     upto = upto.groupBy(group, "fold", "i").agg(F.sum("v").alias("v"))
     columns = {"beta": T.ArrayType(T.DoubleType()), "sigma": T.DoubleType()}
     return sized(per_row(as_matrix(upto), columns, lambda m: solve_regression(m, ridge)))
@@ -249,9 +249,9 @@ def seasonal_regression(
     plan = fold_plan(df, group, horizon_hours, folds)
     origin = sized(df.groupBy(group).agg(F.min("time").alias("_origin")))
     design = _design(F.col("time"), F.col("_origin"), daily_order, weekly_order)
-    models = _fit_folds(df.join(origin, group), plan, group, design, ridge, block)
+    models = _fit_folds(matched(df, origin, group), plan, group, design, ridge, block)
     targets = _naive_values(_with_actuals(fold_targets(plan), df, group), df, group)
-    scored = targets.join(origin, group).join(models, [group, "fold"], "left")
+    scored = matched(matched(targets, origin, group), models, [group, "fold"], "left")
     value = _dot(design, F.col("beta"))
     fitted = F.col("beta").isNotNull()
     scored = scored.withColumn("forecast", F.when(fitted, value).otherwise(F.col("naive")))
@@ -275,16 +275,14 @@ def seasonal_outlook(
 
     The daily form takes a series of daily totals; groups too short for a fit are left out.
     """
-    plan = df.groupBy(group).agg(
-        F.max("n").alias("cutoff"), F.min("time").alias("_origin"), F.max("time").alias("_last")
-    ).join(cadence(df, group, 1440), group)
-    plan = settled(plan, "outlook")
+    plan = df.groupBy(group).agg(F.max("n").alias("cutoff"), F.min("time").alias("_origin"), F.max("time").alias("_last"))
+    plan = settled(matched(plan, cadence(df, group, 1440), group), "outlook")
     design = _design(F.col("time"), F.col("_origin"), daily_order, weekly_order)
-    with_origin = df.join(plan.select(group, "_origin"), group)
+    with_origin = matched(df, plan.select(group, "_origin"), group)
     models = _fit_folds(with_origin, plan.withColumn("fold", F.lit(1)), group, design, ridge, block).drop("fold")
     ahead = plan.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(steps))))
     ahead = ahead.withColumn("time", plus_minutes(F.col("_last"), F.col("step") * F.col("cadence_minutes")))
-    scored = ahead.join(models.filter("beta IS NOT NULL"), group).withColumn("yhat", _dot(design, F.col("beta")))
+    scored = matched(ahead, models.filter("beta IS NOT NULL"), group).withColumn("yhat", _dot(design, F.col("beta")))
     band = 1.96 * F.col("sigma")
     return scored.select(
         group,
@@ -336,7 +334,7 @@ def sequence_regression(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "kwh"))), lambda r: r["kwh"]).alias("_tail")
     )
     inputs = F.concat(F.array(F.lit(1.0)), F.col("_tail"))
-    ready = tail.filter(F.size("_tail") == window).join(models, group)
+    ready = matched(tail.filter(F.size("_tail") == window), models, group)
     spread = ready.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
     part = F.slice("weights", (F.col("step") - 1) * (window + 1) + 1, F.lit(window + 1))
     return spread.select(group, "step", _dot(inputs, part).alias("forecast"))
@@ -350,16 +348,67 @@ MODELS = {
 }
 
 
-def benchmark(df: DataFrame, group: str, models: tuple[str, ...] = tuple(MODELS), horizon_hours: int = 24, folds: int = 5) -> tuple[DataFrame, DataFrame]:
-    """All forecasts and one row per model with its error and status.
+def benchmark_runs(
+    df: DataFrame, group: str, models: Mapping[str, Callable[..., DataFrame]] = MODELS, horizon_hours: int = 24, folds: int = 5
+) -> tuple[DataFrame, dict[str, str]]:
+    """The stored forecasts of every model that ran, with its ``model_name``, and what each model that failed said."""
+    layout = T.StructType([*FORECASTS.fields, T.StructField("model_name", T.StringType())])
+    forecasts, failed = df.sparkSession.createDataFrame([], layout), {}
+    for name, model in models.items():
+        try:
+            part = model(df, group, horizon_hours, folds).select(*OUTPUT).withColumn("model_name", F.lit(name))
+            part = settled(part, "forecasts")
+        except (PySparkException, ArithmeticError, ValueError, np.linalg.LinAlgError) as error:
+            failed[name] = str(error).strip().split("\n", 1)[0]
+            continue
+        forecasts = forecasts.unionByName(part)
+    return forecasts, failed
+
+
+def _status(rows: Column, name: Column, failed: Mapping[str, str]) -> Column:
+    state = F.when(name.isin(list(failed)), "failed") if failed else F.when(F.lit(False), "failed")
+    return state.when(F.coalesce(rows, F.lit(0)) > 0, "completed").otherwise("no_folds")
+
 
-    ``primary`` marks the first seasonal-regression model, else the naive one.
+def benchmark(
+    df: DataFrame, group: str, models: tuple[str, ...] = tuple(MODELS), horizon_hours: int = 24, folds: int = 5
+) -> tuple[DataFrame, DataFrame]:
+    """All forecasts and one row per model with its error and status: completed, failed, or no_folds.
+
+    ``primary`` marks the first completed seasonal-regression model, else the naive one if it is completed.
     """
-    forecasts = None
-    for name in models:
-        part = MODELS[name](df, group, horizon_hours, folds).select(*OUTPUT)
-        part = part.withColumn("model_name", F.lit(name))
-        forecasts = part if forecasts is None else forecasts.unionByName(part)
-    primary = next((m for m in models if m.startswith(SEASONAL_MODEL)), NAIVE if NAIVE in models else None)
-    table = wape(forecasts, "model_name").withColumn("status", F.lit("completed"))
-    return forecasts, table.withColumn("primary", F.col("model_name") == F.lit(primary))
+    spark = df.sparkSession
+    forecasts, failed = benchmark_runs(df, group, {name: MODELS[name] for name in models}, horizon_hours, folds)
+    asked = spark.createDataFrame([(i, name) for i, name in enumerate(models)], "_order int, model_name string")
+    table = asked.join(wape(forecasts, "model_name"), "model_name", "left").fillna(0, ["forecast_rows"])
+    table = sized(table.withColumn("status", _status(F.col("forecast_rows"), F.col("model_name"), failed)))
+    done = [row[0] for row in table.filter("status = 'completed'").orderBy("_order").select("model_name").collect()]  # a row a model
+    primary = next((m for m in done if m.startswith(SEASONAL_MODEL)), NAIVE if NAIVE in done else None)
+    return forecasts, table.drop("_order").withColumn("primary", F.col("model_name").eqNullSafe(F.lit(primary)))
+
+
+def benchmark_status(
+    df: DataFrame, group: str, models: Mapping[str, Callable[..., DataFrame]] = MODELS, horizon_hours: int = 24, folds: int = 5
+) -> DataFrame:
+    """One row per model and group: samples, cadence, folds asked and used, model types, errors, status and reason.
+
+    A group without room for a fold has status ``no_folds``; a model that failed has ``failed`` in every group, and the
+    first line of its message as reason.
+    """
+    forecasts, failed = benchmark_runs(df, group, models, horizon_hours, folds)
+    groups = matched(df.groupBy(group).agg(F.max("n").alias("samples")), cadence(df, group, 60), group)
+    groups = groups.select(
+        F.col(group).cast("string").alias("group_key"), "samples", "cadence_minutes",
+        horizon_steps(horizon_hours, F.col("cadence_minutes")).alias("horizon_steps"), F.lit(folds).alias("folds_requested"),
+    )
+    keys = ["model_name", "group_key"]
+    used = forecasts.groupBy(*keys).agg(
+        F.count_distinct("fold").cast("int").alias("folds_used"), F.array_join(F.array_sort(F.collect_set("model_type")), "+").alias("model_type")
+    )
+    names = df.sparkSession.createDataFrame([(name, failed.get(name)) for name in models], "model_name string, reason string")
+    asked = sized(names).crossJoin(groups)  # a few models
+    out = matched(matched(asked, used, keys, "left"), wape(forecasts, keys), keys, "left").fillna(0, ["folds_used", "forecast_rows"])
+    return out.select(
+        *keys, "samples", "cadence_minutes", "horizon_steps", "folds_requested", "folds_used", "model_type",
+        "wape_1_step", "wape_horizon", _status(F.col("forecast_rows"), F.col("model_name"), failed).alias("status"), "reason",
+    )

@@ -23,6 +23,8 @@ DROP_SHARE = 0.85
 NIGHT_HOUR = 2
 AFTERNOON_HOUR = 14
 
+HOUR, DAY = 3_600_000_000, 86_400_000_000  # microseconds
+
 
 def unlabelled(df: DataFrame) -> DataFrame:
     """Series ready for injection: flag present, labels blank on rows that are not anomalies."""
@@ -82,7 +84,7 @@ def inject_points(df: DataFrame, group: str, seed: int = 42, points: int = 5, sp
         ).otherwise(v + spike_k * d["std_kwh"]),
     )
     labels = F.aggregate("_plan", F.col("anomaly_type"), lambda old, d: add_label(old, d["kind"]))
-    out = df.join(sized(plan), [group, "pos"], "left")
+    out = matched(df, sized(plan), [group, "pos"], "left")
     return out.withColumns(
         {
             "kwh": F.when(hit, F.round(kwh, 8)).otherwise(F.col("kwh")),
@@ -92,14 +94,14 @@ def inject_points(df: DataFrame, group: str, seed: int = 42, points: int = 5, sp
     ).drop("_plan")
 
 
-def swap_plan(df: DataFrame, group: str, steps: int) -> DataFrame:
-    """``(group, pos, new_kwh)`` exchanging the night and afternoon segments of the last complete late day."""
+def swap_segments(df: DataFrame, group: str, steps: int) -> DataFrame:
+    """``(group, _side, _slot, _row)``: the rows of the night and afternoon segments of the last complete late day."""
     first_gap = rolling(df.select(group, "pos", "n", "time"), group, 1, {"_before": lambda w: F.lag("time").over(w)})
     gap = minutes_between(F.col("time"), F.col("_before")).cast("long")
     first_gap = first_gap.withColumn("_gap", gap).filter("_gap > 0")
     base = df.groupBy(group).agg(F.max("n").alias("_size"))
     found = first_gap.groupBy(group).agg(F.min(F.struct("pos", "_gap"))["_gap"].alias("_found"))
-    base = base.join(found, group, "left").withColumn("_step", F.coalesce("_found", F.lit(30).cast("long")) * 60)
+    base = matched(base, found, group, "left").withColumn("_step", F.coalesce("_found", F.lit(30).cast("long")) * 60)
     base = sized(base.filter(F.col("_size") >= steps * 3).select(group, "_step"))
 
     # Days of a group in order: the calendar bounds this window.
@@ -109,34 +111,45 @@ def swap_plan(df: DataFrame, group: str, steps: int) -> DataFrame:
     )
     late = late.filter(F.col("_rank") >= F.floor(F.col("_days") / 2)).select(group, "day")
 
-    micros = F.unix_micros("time") - F.unix_micros(F.date_trunc("day", "time"))
-    keyed = df.select(group, "pos", "kwh", "time", F.to_date("time").alias("day"), micros.alias("_tod")).join(base, group)
+    keyed = matched(df.select(group, "pos", "kwh", F.unix_micros("time").alias("_at")), base, group)
+    step = F.col("_step") * 1_000_000
     sides = []
     for side, hour in (("night", NIGHT_HOUR), ("afternoon", AFTERNOON_HOUR)):
-        offset = F.col("_tod") - hour * 3_600_000_000
-        slot = (offset / (F.col("_step") * 1_000_000)).cast("long")
-        on_slot = (offset >= 0) & (offset % (F.col("_step") * 1_000_000) == 0) & (slot < steps)
-        sides.append(keyed.filter(on_slot).withColumn("_slot", slot).withColumn("_side", F.lit(side)))
+        # A segment belongs to the day it starts on, and a row to every segment it is a step of.
+        since = F.col("_at") - hour * HOUR
+        first = F.ceil((since - (steps - 1) * step) / F.lit(DAY)).cast("long")
+        last = F.floor(since / F.lit(DAY)).cast("long")
+        started = keyed.filter(first <= last).withColumn("_day", F.explode(F.sequence(first, last)))
+        offset = since - F.col("_day") * DAY
+        placed = started.withColumn("_slot", F.call_function("div", offset, step)).withColumn("_side", F.lit(side))
+        sides.append(placed.filter(offset % step == 0).withColumn("day", F.date_from_unix_date(F.col("_day").cast("int"))))
     # Several rows at one time: the last one stands for the slot.
     slots = sides[0].unionByName(sides[1]).groupBy(group, "day", "_side", "_slot").agg(
         F.max(F.struct("pos", "kwh")).alias("_row")
     )
     complete = slots.groupBy(group, "day").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") == 2 * steps)
-    chosen = complete.join(late, [group, "day"]).groupBy(group).agg(F.max("day").alias("day"))
-    picked = slots.join(chosen, [group, "day"])
+    chosen = matched(complete, late, [group, "day"]).groupBy(group).agg(F.max("day").alias("day"))
+    return matched(slots, chosen, [group, "day"]).drop("day")
+
+
+def swap_plan(df: DataFrame, group: str, steps: int) -> DataFrame:
+    """``(group, pos, new_kwh)`` exchanging the night and afternoon segments of the last complete late day."""
+    picked = swap_segments(df, group, steps)
     other = picked.select(
         group,
         F.when(F.col("_side") == "night", "afternoon").otherwise("night").alias("_side"),
         "_slot",
         F.col("_row.kwh").alias("new_kwh"),
     )
-    return picked.join(other, [group, "_side", "_slot"]).select(group, F.col("_row.pos").alias("pos"), "new_kwh")
+    swapped = matched(picked, other, [group, "_side", "_slot"]).select(group, F.col("_row.pos").alias("pos"), "_side", "new_kwh")
+    # Where the segments overlap, the afternoon's new value is written last.
+    return swapped.groupBy(group, "pos").agg(F.max_by("new_kwh", F.col("_side") == "afternoon").alias("new_kwh"))
 
 
 def inject_swap(df: DataFrame, group: str, steps: int = 6) -> DataFrame:
     """Exchange the values of the segments starting at 02:00 and 14:00 on one day."""
     hit = F.col("new_kwh").isNotNull()
-    out = df.join(sized(swap_plan(df, group, steps)), [group, "pos"], "left")
+    out = matched(df, sized(swap_plan(df, group, steps)), [group, "pos"], "left")
     return out.withColumns(
         {
             "kwh": F.coalesce("new_kwh", "kwh"),
@@ -182,3 +195,30 @@ def injection_report(injected: DataFrame, group: str) -> DataFrame:
     labels = F.explode(F.split("anomaly_type", r"\+"))
     marked = injected.filter("is_anomaly").select(group, labels.alias("label"))
     return marked.groupBy(group, "label").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def injection_events(
+    df: DataFrame, group: str, seed: int = 42, points: int = 5, segment_steps: int = 6, drift_steps: int = 6
+) -> DataFrame:
+    """Where :func:`inject` with the same arguments puts its anomalies: one row per point, swapped segment and drift.
+
+    ``(group, type, part, start_pos, end_pos, start_time, end_time, steps)``; ``part`` is the number of a point, or the
+    segment of a swap.
+    """
+    layout = [group, "type", "part", "start_pos", "end_pos"]
+    sizes = df.groupBy(group).agg(F.max("n").alias("n")).filter(F.col("n") >= 2 * drift_steps)
+    last = F.col("n") - 1
+    found = sizes.select(group, F.lit(DRIFT_LABEL).alias("type"), F.lit("").alias("part"), (last - drift_steps + 1).alias("start_pos"), last.alias("end_pos"))
+    sides = swap_segments(df, group, segment_steps).groupBy(group, F.lit(SWAP_LABEL).alias("type"), F.col("_side").alias("part"))
+    found = found.unionByName(sides.agg(F.min("_row.pos").alias("start_pos"), F.max("_row.pos").alias("end_pos")).select(*layout))
+    if points:
+        draws = point_draws(df, group, seed, points)
+        found = found.unionByName(
+            draws.select(group, F.col("kind").alias("type"), F.col("draw").cast("string").alias("part"), F.col("pos").alias("start_pos"), F.col("pos").alias("end_pos"))
+        )
+    found = sized(found)
+    for side in ("start", "end"):
+        times = df.select(group, F.col("pos").alias(f"{side}_pos"), F.col("time").alias(f"{side}_time"))
+        found = matched(found, times, [group, f"{side}_pos"])
+    steps = F.when(F.col("type") == DRIFT_LABEL, F.lit(drift_steps)).when(F.col("type") == SWAP_LABEL, F.lit(segment_steps)).otherwise(F.lit(1))
+    return found.select(*layout, "start_time", "end_time", steps.alias("steps"))

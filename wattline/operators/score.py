@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 from wattline.functions.text import label_set, min_flags
 from wattline.operators.detect import exceeds
 from wattline.operators.series import (
-    matched,
     SERIES_BLOCK,
     block_of,
     cadence,
     index_series,
-    next_positions,
-    prefix_sums,
+    marks_from,
+    marks_upto,
+    matched,
     rolling,
     true_runs,
 )
-from wattline.session import settled
+from wattline.session import settled, sized
 
 
 def default_thresholds() -> list[float]:
@@ -89,7 +89,7 @@ def confusion_by_type(df: DataFrame, by: str | Sequence[str]) -> DataFrame:
     hits = marked.groupBy(*keys, "label").agg(
         F.count_if(F.col("truth") & F.col("pred")).alias("tp"), F.count_if(F.col("truth") & ~F.col("pred")).alias("fn")
     )
-    joined = hits.join(totals, keys)
+    joined = matched(hits, totals, keys)
     joined = joined.withColumn("fp", F.col("_pred") - F.col("tp"))
     joined = joined.withColumn("tn", F.col("_rows") - F.col("tp") - F.col("fn") - F.col("fp"))
     return with_rates(joined.select(*keys, "label", "tp", "fp", "fn", "tn"))
@@ -103,9 +103,9 @@ def latency(df: DataFrame, group: str | Sequence[str], tolerance: int = 2, block
 def _latency(df: DataFrame, group: str | Sequence[str], tolerance: int, block: int) -> DataFrame:
     keys = _names(group)
     runs = true_runs(df, keys, "truth", block)
-    ahead = next_positions(df.select(*keys, "pos", "n", "pred"), keys, {"_next": F.col("pred")}, block)
-    starts = ahead.select(*keys, F.col("pos").alias("run_start"), "_next", "n")
-    timed = runs.join(starts, [*keys, "run_start"])
+    flags = df.filter("pred").select(*keys, "pos")
+    timed = marks_from(runs.withColumn("pos", F.col("run_start")), flags, keys, {"_next": F.lit(True)}, block)
+    timed = matched(timed, df.groupBy(*keys).agg(F.max("n").alias("n")), keys)
     end = F.least(F.col("n") - 1, F.col("run_end") + tolerance)
     timed = timed.withColumn("_delay", F.when(F.col("_next") <= end, F.col("_next") - F.col("run_start")))
     per_group = timed.groupBy(*keys).agg(
@@ -113,7 +113,7 @@ def _latency(df: DataFrame, group: str | Sequence[str], tolerance: int, block: i
         F.count_if(F.col("_delay").isNull()).alias("missed_windows"),
         F.avg("_delay").alias("avg_latency_samples"),
     )
-    out = cadence(df, keys, None).join(per_group, keys, "left").fillna(0, ["windows", "missed_windows"])
+    out = matched(cadence(df, keys, None), per_group, keys, "left").fillna(0, ["windows", "missed_windows"])
     minutes = F.col("avg_latency_samples") * F.col("cadence_minutes")
     return out.withColumn("avg_latency_minutes", minutes).drop("cadence_minutes")
 
@@ -132,66 +132,57 @@ def event_scores(
     and a long enough unbroken stretch of them.  A run of flags untouched by any detected event's widened
     window counts as false when it is long enough.
 
-    All counts come from running sums looked up at a few positions per event, so no pairs are formed.
+    All counts are looked up at a few positions per event among the flagged rows, so no pairs are formed and rows that
+    are neither true nor flagged are read once, for the size of their group.
     """
     slim = settled(df.select(*_names(group), "pos", "n", "truth", "pred", "anomaly_type"), "scored")
     return _event_scores(slim, group, tolerance, event_min_flags, event_min_run, block)
 
 
 def _event_scores(
-    slim: DataFrame, group: str | Sequence[str], tolerance: int, event_min_flags: int, event_min_run: int, block: int
+    slim: DataFrame, group: str | Sequence[str], tolerance: int, event_min_flags: int, event_min_run: int, block: int, by_type: bool = False
 ) -> DataFrame:
     keys = _names(group)
-    series = slim
-    if event_min_run > 1:
-        stretch = {"_in_run": lambda w: F.sum(F.col("pred").cast("int")).over(w.rowsBetween(1 - event_min_run, 0))}
-        series = rolling(slim, keys, event_min_run - 1, stretch, block)
-        long_enough = (F.col("_in_run") == event_min_run) & (F.col("pos") >= event_min_run - 1)
+    own = [*keys, "label"] if by_type else keys
+    sizes = sized(slim.groupBy(*keys).agg(F.max("n").alias("n")))
+    flags = slim.filter("pred").select(*keys, "pos", "n")
+    typed = slim.filter("truth").select(*keys, "pos", label_set(F.col("anomaly_type")).alias("_set"))
+    if by_type:  # a true row once for each of its labels
+        typed = typed.select(*keys, "pos", F.explode("_set").alias("label"))
+        runs = true_runs(typed, own, F.lit(True), block).withColumn("type", F.col("label"))
+        scored = matched(labels(slim, keys), sizes, keys)
     else:
-        long_enough = F.col("pred")
-    flag = F.col("pred").cast("long")
-    walked = prefix_sums(series, keys, {"_flags": flag}, block)
-    walked = next_positions(walked, keys, {"_next": F.col("pred"), "_long": long_enough}, block)
-    walked = walked.select(*keys, "pos", "n", "pred", "_flags", "_next", "_long")
+        runs = _with_run_labels(true_runs(typed, own, F.lit(True), block), typed, keys, block)
+        scored = sizes
 
-    # One row per event with its type, widened window and the positions whose running values it needs.
-    typed = slim.filter("truth").select(*keys, "pos", label_set(F.col("anomaly_type")).alias("_set"))
-    runs = _with_run_labels(true_runs(slim, keys, "truth", block), typed, keys, block)
-    sizes = slim.groupBy(*keys).agg(F.max("n").alias("n"))
+    # One row per event with its type, its widened window, and the positions it asks about.
     lo = F.greatest(F.lit(0).cast("long"), F.col("run_start") - tolerance)
     hi = F.least(F.col("n") - 1, F.col("run_end") + tolerance)
-    events = runs.join(sizes, keys).withColumn("lo", lo).withColumn("hi", hi).drop("n")
+    events = settled(matched(runs, sizes, keys).withColumn("lo", lo).withColumn("hi", hi).drop("n", "run_end"), "events")
+    event = [*own, "run_start", "lo", "hi", "type"]
+
+    def ask(places: dict[str, Column]) -> DataFrame:
+        asked = [F.struct(F.lit(role).alias("role"), place.cast("long").alias("pos")) for role, place in places.items()]
+        return events.select(*event, F.inline(F.array(*asked)))
+
+    def at(role: str, value: str) -> Column:
+        return F.max(F.when(F.col("role") == role, F.col(value)))
+
+    counted = marks_upto(ask({"before": F.col("lo") - 1, "hi": F.col("hi")}), flags, keys, "_flags", block)
+    counted = counted.groupBy(*event).agg((at("hi", "_flags") - at("before", "_flags")).alias("in_window"))
+    if event_min_run > 1:  # a flagged row ends a long stretch when that many flags stand right before it
+        stretch = {"_far": lambda w: F.lag("pos", event_min_run - 1).over(w)}
+        flags = rolling(flags, keys, event_min_run - 1, stretch, block)
+        long_enough = F.col("pos") - F.col("_far") == event_min_run - 1
+    else:
+        long_enough = F.lit(True)
     stretch_end = F.least(F.col("lo") + (max(event_min_run, 1) - 1), F.col("hi"))
-    asked = events.select(
-        *keys,
-        "run_start",
-        "lo",
-        "hi",
-        "type",
-        F.explode(
-            F.array(
-                F.struct(F.lit("lo").alias("role"), F.col("lo").alias("pos")),
-                F.struct(F.lit("hi").alias("role"), F.col("hi").alias("pos")),
-                F.struct(F.lit("start").alias("role"), F.col("run_start").alias("pos")),
-                F.struct(F.lit("stretch").alias("role"), stretch_end.alias("pos")),
-            )
-        ).alias("ask"),
-    ).select(*keys, "run_start", "lo", "hi", "type", F.col("ask.role").alias("role"), F.col("ask.pos").alias("pos"))
-
-    def at(role: str, value: Column) -> Column:
-        return F.max(F.when(F.col("role") == role, value))
-
-    before = F.col("_flags") - F.col("pred").cast("long")
-    found = (
-        asked.join(walked, [*keys, "pos"])
-        .groupBy(*keys, "run_start", "lo", "hi", "type")
-        .agg(
-            (at("hi", F.col("_flags")) - at("lo", before)).alias("in_window"),
-            at("start", F.col("_next")).alias("next_start"),
-            at("lo", F.col("_next")).alias("next_lo"),
-            at("stretch", F.col("_long")).alias("stretch_at"),
-        )
+    places = {"lo": F.col("lo"), "start": F.col("run_start"), "stretch": stretch_end}
+    found = marks_from(ask(places), flags, keys, {"_next": F.lit(True), "_long": long_enough}, block)
+    found = found.groupBy(*event).agg(
+        at("start", "_next").alias("next_start"), at("lo", "_next").alias("next_lo"), at("stretch", "_long").alias("stretch_at")
     )
+    found = matched(counted, found, event)
     needed = min_flags(F.col("type"), event_min_flags)
     # A stretch must lie in the window: one that is longer than the window cannot.
     fits = F.col("hi") - F.col("lo") + 1 >= event_min_run
@@ -201,32 +192,34 @@ def _event_scores(
     found = found.withColumn("detected", (F.col("in_window") >= needed) & runs_ok).withColumn(
         "delay", F.greatest(F.lit(0).cast("long"), first - F.col("run_start"))
     )
-    found = settled(found, "events")
-    per_group = found.groupBy(*keys).agg(
+    found = settled(found, "found")
+    per_group = found.groupBy(*own).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if("detected").alias("tp"),
         F.count_if(~F.col("detected")).alias("fn"),
         F.avg(F.when(F.col("detected"), F.col("delay"))).alias("avg_latency_samples"),
     )
-    false_runs = _uncovered_runs(slim, found.filter("detected"), keys, block)
-    false_runs = false_runs.filter(F.col("run_end") - F.col("run_start") + 1 >= event_min_flags)
-    false_runs = false_runs.groupBy(*keys).agg(F.count(F.lit(1)).alias("fp"))
-    out = sizes.drop("n").join(per_group, keys, "left").join(false_runs, keys, "left")
+    flagged = true_runs(flags, keys, F.lit(True), block).filter(F.col("run_end") - F.col("run_start") + 1 >= event_min_flags)
+    if by_type:
+        flagged = matched(flagged, scored.drop("n"), keys)
+    false_runs = _uncovered_runs(flagged, found.filter("detected"), own, block)
+    false_runs = false_runs.groupBy(*own).agg(F.count(F.lit(1)).alias("fp"))
+    out = matched(matched(scored.drop("n"), per_group, own, "left"), false_runs, own, "left")
     out = out.fillna(0, ["events", "tp", "fn", "fp"])
-    return with_rates(out.select(*keys, "tp", "fp", "fn", "events", "avg_latency_samples"))
+    return with_rates(out.select(*own, "tp", "fp", "fn", "events", "avg_latency_samples"))
 
 
 def _with_run_labels(runs: DataFrame, typed: DataFrame, keys: list[str], block: int) -> DataFrame:
     """Runs with their sorted label list: every labelled row finds its run through the run starts before it."""
     starts = runs.select(*keys, "run_start", F.col("run_start").alias("pos"))
     # The run of a row is the last start at or before it: mark starts, carry them forward block by block.
-    marked = typed.join(starts, [*keys, "pos"], "left").withColumn("_at", F.coalesce("run_start", F.lit(-1).cast("long")))
+    marked = matched(typed, starts, [*keys, "pos"], "left").withColumn("_at", F.coalesce("run_start", F.lit(-1).cast("long")))
     carried = _carry_max(marked, keys, "_at", block)
     sets = carried.select(*keys, F.col("_at").alias("run_start"), F.explode_outer("_set").alias("_label"))
     # The label vocabulary is small and fixed, so the set per run is bounded whatever the run's length.
     types = sets.groupBy(*keys, "run_start").agg(F.array_join(F.array_sort(F.collect_set("_label")), "+").alias("type"))
     types = types.withColumn("type", F.when(F.col("type") == "", "unknown").otherwise(F.col("type")))
-    return runs.join(types, [*keys, "run_start"])
+    return matched(runs, types, [*keys, "run_start"])
 
 
 def _carry_max(df: DataFrame, keys: list[str], column: str, block: int) -> DataFrame:
@@ -236,33 +229,20 @@ def _carry_max(df: DataFrame, keys: list[str], column: str, block: int) -> DataF
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     tops = tops.select(*keys, "_block", F.max("_top").over(earlier).alias("_before"))
     inside = Window.partitionBy(*keys, "_block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    out = blocked.join(tops, [*keys, "_block"])
+    out = matched(blocked, tops, [*keys, "_block"])
     return out.withColumn(column, F.greatest(F.max(column).over(inside), "_before")).drop("_block", "_before")
 
 
-def _uncovered_runs(series: DataFrame, detected: DataFrame, keys: list[str], block: int) -> DataFrame:
+def _uncovered_runs(runs: DataFrame, detected: DataFrame, keys: list[str], block: int) -> DataFrame:
     """Runs of flags that meet no detected window.
 
-    Windows and runs are both in order, so a run is met exactly when more windows have opened up to its end
-    than have closed before its start.
+    A run is met exactly when more windows have opened up to its end than have closed before its start.
     """
-    runs = true_runs(series, keys, "pred", block)
-    opened = detected.groupBy(*keys, F.col("lo").alias("pos")).agg(F.count(F.lit(1)).alias("_open"))
-    closed = detected.groupBy(*keys, F.col("hi").alias("pos")).agg(F.count(F.lit(1)).alias("_close"))
-    marks = opened.join(closed, [*keys, "pos"], "full")
-    marked = series.select(*keys, "pos", "n").join(marks, [*keys, "pos"], "left")
-    walked = prefix_sums(
-        marked,
-        keys,
-        {"_opened": F.coalesce("_open", F.lit(0)), "_closed": F.coalesce("_close", F.lit(0))},
-        block,
-    )
-    at_end = walked.select(*keys, F.col("pos").alias("run_end"), "_opened")
-    at_start = walked.select(
-        *keys, F.col("pos").alias("run_start"), (F.col("_closed") - F.coalesce("_close", F.lit(0))).alias("_closed")
-    )
-    both = runs.join(at_end, [*keys, "run_end"]).join(at_start, [*keys, "run_start"])
-    return both.filter(F.col("_opened") - F.col("_closed") <= 0).drop("_opened", "_closed")
+    at_end = runs.withColumn("pos", F.col("run_end"))
+    opened = marks_upto(at_end, detected.select(*keys, F.col("lo").alias("pos")), keys, "_opened", block)
+    before = opened.withColumn("pos", F.col("run_start") - 1)
+    both = marks_upto(before, detected.select(*keys, F.col("hi").alias("pos")), keys, "_closed", block)
+    return both.filter(F.col("_opened") <= F.col("_closed"))
 
 
 def event_scores_by_type(
@@ -273,13 +253,12 @@ def event_scores_by_type(
     event_min_run: int = 1,
     block: int = SERIES_BLOCK,
 ) -> DataFrame:
-    """Event scores per group and label: only rows with the label are true, each series is scored once per label."""
-    keys = _names(group)
-    vocabulary = labels(df, keys)
-    spread = df.select(*keys, "pos", "n", "truth", "pred", "anomaly_type").join(vocabulary, keys)
-    mine = F.array_contains(label_set(F.col("anomaly_type")), F.col("label")) & F.col("truth")
-    spread = spread.withColumn("truth", mine).withColumn("anomaly_type", F.when(mine, F.col("label")).otherwise(F.lit("")))
-    return event_scores(spread, [*keys, "label"], tolerance, event_min_flags, event_min_run, block)
+    """Event scores per group and label: only rows with the label are true.
+
+    True rows and runs of flags are taken once per label; the series itself is not multiplied.
+    """
+    slim = settled(df.select(*_names(group), "pos", "n", "truth", "pred", "anomaly_type"), "scored")
+    return _event_scores(slim, group, tolerance, event_min_flags, event_min_run, block, by_type=True)
 
 
 def overall(scores: DataFrame, by: str | Sequence[str] = ()) -> DataFrame:
@@ -313,7 +292,7 @@ def evaluate(
     rows = confusion(df, group)
     by_type = confusion_by_type(df, group)
     events = _event_scores(df, group, tolerance, event_min_flags, event_min_run, block)
-    events_by_type = event_scores_by_type(df, group, tolerance, event_min_flags, event_min_run, block)
+    events_by_type = _event_scores(df, group, tolerance, event_min_flags, event_min_run, block, by_type=True)
     return {
         "rows": rows,
         "rows_overall": overall(rows),

@@ -28,9 +28,12 @@ def _names(group: str | Sequence[str]) -> list[str]:
     return [group] if isinstance(group, str) else list(group)
 
 
-def global_index(df: DataFrame, order: Sequence[str], name: str = "idx") -> DataFrame:
-    """Dense 0-based index in the given order: range sort, per-partition counts, prefix offsets."""
-    indexed = _range_positions(df, [], list(order))
+def global_index(df: DataFrame, order: Sequence[str], name: str = "idx", unique: bool = False) -> DataFrame:
+    """Dense 0-based index in the given order: range sort, per-partition counts, prefix offsets.
+
+    ``unique=True`` says that no two rows agree in ``order``, which spares storing them before the sort.
+    """
+    indexed = _range_positions(df, [], list(order), unique)
     return indexed.withColumnRenamed("pos", name).drop("n")
 
 
@@ -55,11 +58,11 @@ def index_series(
     return settled(indexed, "series")
 
 
-def _range_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def _range_positions(df: DataFrame, keys: list[str], order: list[str], unique: bool = False) -> DataFrame:
     # The running row id breaks full ties, so even a heap of copies is spread over partitions.  It is stored
     # with the rows before the sort: a repeated task then sees the same ids and the same range borders.
-    rows = settled(df.withColumn("_tie", F.monotonically_increasing_id()), "unordered")
-    layout = [*keys, *order, "_tie"]
+    rows = df if unique else settled(df.withColumn("_tie", F.monotonically_increasing_id()), "unordered")
+    layout = [*keys, *order] if unique else [*keys, *order, "_tie"]
     placed = rows.repartitionByRange(*layout).sortWithinPartitions(*layout).drop("_tie")
     # Place in the sort order, also stored: ids count up inside a partition, partitions are in range order.
     placed = placed.withColumn("_row", F.monotonically_increasing_id())
@@ -82,6 +85,8 @@ def _range_positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
 def matched(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Join on equal keys where null equals null, so that rows of an unnamed group are kept."""
     keys = _names(keys)
+    if not keys:
+        return left.crossJoin(right)  # totals without a group: one row
     other = {key: f"_right_{key}" for key in keys}
     same = reduce(lambda a, b: a & b, [F.col(key).eqNullSafe(F.col(name)) for key, name in other.items()])
     out = left.join(right.withColumnsRenamed(other), same, how)
@@ -170,6 +175,35 @@ def next_positions(
     return out.drop("_block", *[f"{kind}_{name}" for name in flags for kind in ("_at", "_later")])
 
 
+def marks_upto(
+    asked: DataFrame, marks: DataFrame, group: str | Sequence[str], name: str, block: int = SERIES_BLOCK
+) -> DataFrame:
+    """Rows of ``asked`` with the number of ``marks`` of their group at or before their ``pos``.
+
+    Both are sparse: they have a ``pos``, rows may share one, and a group needs no row at every position.
+    """
+    keys = _names(group)
+    points = marks.select(*keys, (F.col("pos") * 2).alias("pos"), F.lit(1).alias("_mark"))
+    both = asked.withColumn("pos", F.col("pos") * 2 + 1).withColumn("_mark", F.lit(0)).unionByName(points, allowMissingColumns=True)
+    walked = prefix_sums(both, keys, {name: F.col("_mark").cast("long")}, 2 * block)
+    return walked.filter("_mark = 0").drop("_mark").withColumn("pos", F.shiftright("pos", 1))
+
+
+def marks_from(
+    asked: DataFrame, marks: DataFrame, group: str | Sequence[str], names: Mapping[str, Column], block: int = SERIES_BLOCK
+) -> DataFrame:
+    """Rows of ``asked`` with the position of the first mark at or after their ``pos`` for which a condition holds.
+
+    ``names`` maps new columns to conditions on ``marks``; sparse as :func:`marks_upto`.
+    """
+    keys = _names(group)
+    points = marks.select(*keys, (F.col("pos") * 2 + 1).alias("pos"), F.lit(True).alias("_mark"), *[c.alias(f"_is_{n}") for n, c in names.items()])
+    both = asked.withColumn("pos", F.col("pos") * 2).withColumn("_mark", F.lit(False)).unionByName(points, allowMissingColumns=True)
+    walked = next_positions(both, keys, {n: F.coalesce(f"_is_{n}", F.lit(False)) for n in names}, 2 * block)
+    found = walked.filter("NOT _mark").drop("_mark", *[f"_is_{n}" for n in names])
+    return found.withColumns({"pos": F.shiftright("pos", 1), **{n: F.shiftright(n, 1) for n in names}})
+
+
 def shifted(
     df: DataFrame, group: str | Sequence[str], steps: Column, columns: Mapping[str, str]
 ) -> DataFrame:
@@ -224,7 +258,7 @@ def longest_run(
     best = true_runs(df, keys, flag).groupBy(*keys).agg(
         F.max(F.col("run_end") - F.col("run_start") + 1).alias("max_run")
     )
-    return df.select(*keys).distinct().join(best, keys, "left").fillna(0, ["max_run"])
+    return matched(df.select(*keys).distinct(), best, keys, "left").fillna(0, ["max_run"])
 
 
 def cadence(df: DataFrame, group: str | Sequence[str], default: int | None = 60) -> DataFrame:

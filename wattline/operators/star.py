@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattline.functions.time import date_key, day_of_week, is_weekend, season
-from wattline.operators.series import global_index
-from wattline.session import settled
+from wattline.operators.series import global_index, matched
+from wattline.session import settled, sized
 from wattline.sinks.tables import first_per_key
 
 UNKNOWN_SOURCE = "unknown"
@@ -33,7 +33,7 @@ def resolve_keys(dim: DataFrame | None, members: DataFrame, natural: Sequence[st
         current = dim.filter("is_current") if "is_current" in dim.columns else dim
         fresh = fresh.join(current, natural, "left_anti")
         start = dim.agg(F.max(key)).first()[0] or 0
-    keyed = global_index(fresh, natural, "_idx").withColumn(key, (F.col("_idx") + 1 + start).cast("int")).drop("_idx")
+    keyed = global_index(fresh, natural, "_idx", unique=True).withColumn(key, (F.col("_idx") + 1 + start).cast("int")).drop("_idx")
     keyed = keyed.select(key, *natural, *rest)
     # A stored dimension has a known size, by which its joins are planned.
     return settled(keyed if dim is None else dim.unionByName(keyed, allowMissingColumns=True), "dimension")
@@ -236,7 +236,7 @@ def scd2_merge(dim: DataFrame, updates: DataFrame, tracked: Sequence[str], as_of
     )
     start = dim.agg(F.max(key)).first()[0] or 0
     opened = (
-        global_index(fresh, ["meter_id"], "_idx")
+        global_index(fresh, ["meter_id"], "_idx", unique=True)
         .withColumn(key, (F.col("_idx") + 1 + start).cast("int"))
         .withColumn("valid_from", as_of)
         .withColumn("valid_to", F.lit(None).cast("timestamp"))
@@ -255,12 +255,17 @@ def scd2_history(versions: DataFrame, key: str = "meter_key") -> DataFrame:
     return settled(indexed.withColumn(key, (F.col("_idx") + 1).cast("int")).drop("_idx"), "dimension")
 
 
-def as_of_join(facts: DataFrame, dim: DataFrame, columns: Sequence[str], time: str = "time") -> DataFrame:
-    """Attributes valid at the fact's time; at most one version matches.
+def as_of_join(facts: DataFrame, dim: DataFrame, columns: Sequence[str], time: str = "time", few: int = 64) -> DataFrame:
+    """Attributes valid at the fact's time, null where there are none; at most one version matches.
 
-    An equi-join on the meter with a range condition: a hot meter is split by AQE, and a meter has few versions.
+    Where no meter has more than ``few`` versions, facts meet all versions of their meter: an equi-join that broadcasts a
+    small dimension and lets AQE split a hot meter. Otherwise facts and versions are merged in order of time, so that the
+    work does not grow with the versions of a meter.
     """
-    versions = dim.select(F.col("meter_id").alias("_m"), "valid_from", "valid_to", *columns)
+    versions = dim.filter("meter_id IS NOT NULL").select(F.col("meter_id").alias("_m"), "valid_from", "valid_to", *columns)
+    most = versions.groupBy("_m").count().agg(F.max("count")).first()[0] or 0
+    if most > few:
+        return _merged_as_of(facts, versions, columns, time)
     valid = (
         (F.col("meter_id") == F.col("_m"))
         & (F.col(time) >= F.col("valid_from"))
@@ -269,6 +274,33 @@ def as_of_join(facts: DataFrame, dim: DataFrame, columns: Sequence[str], time: s
     return facts.join(versions, valid, "left").drop("_m", "valid_from", "valid_to")
 
 
+def _merged_as_of(facts: DataFrame, versions: DataFrame, columns: Sequence[str], time: str) -> DataFrame:
+    """Versions and facts sorted together by meter and time; the last version before a fact is carried to it.
+
+    The borders of the range sort cut through a large meter: a version that was last before a border is found in one row
+    per meter and stretch.
+    """
+    version = F.struct("valid_to", *columns)
+    fact = F.struct(*[F.col(f"`{c}`") for c in facts.columns])
+    both = facts.select(
+        F.col("meter_id").alias("_m"), F.col(time).alias("_t"), F.lit(1).alias("_kind"), F.xxhash64(*[f"`{c}`" for c in facts.columns]).alias("_tie"), fact.alias("_fact")
+    ).unionByName(versions.select("_m", F.col("valid_from").alias("_t"), F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_tie"), version.alias("_version")), allowMissingColumns=True)
+    layout = ["_m", "_t", "_kind", "_tie"]
+    placed = both.repartitionByRange(*layout).sortWithinPartitions(*layout)
+    placed = settled(placed.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), "merged")
+    # One row per meter and stretch of the sort.
+    last = placed.filter("_kind = 0").groupBy("_m", "_part").agg(F.max_by("_version", "_row").alias("_last"))
+    stretches = matched(placed.select("_m", "_part").distinct(), last, ["_m", "_part"], "left")
+    earlier = Window.partitionBy("_m").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    stretches = sized(stretches.select("_m", "_part", F.last("_last", ignorenulls=True).over(earlier).alias("_before")))
+    inside = Window.partitionBy("_m", "_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    carried = placed.withColumn("_here", F.last("_version", ignorenulls=True).over(inside)).filter("_kind = 1")
+    found = matched(carried, stretches, ["_m", "_part"]).withColumn("_valid", F.coalesce("_here", "_before"))
+    ends = F.col("_valid.valid_to")
+    holds = F.col("_m").isNotNull() & (ends.isNull() | (F.col("_t") < ends))
+    return found.select("_fact.*", *[F.when(holds, F.col(f"_valid.{c}")).alias(c) for c in columns])
+
+
 def violations(
     df: DataFrame,
     not_null: Sequence[str] = (),

@@ -42,7 +42,7 @@ def rolling_median_mad(
 def seasons(df: DataFrame, group: str, window: int) -> DataFrame:
     """Per group: cadence, samples per day and the seasonal lag (a week when the series is long enough, else a day)."""
     sizes = df.groupBy(group).agg(F.max("n").alias("_n"))
-    steps = cadence(df, group, 60).join(sizes, group)
+    steps = matched(cadence(df, group, 60), sizes, group)
     daily = F.greatest(F.lit(1), F.floor(F.lit(1440) / F.col("cadence_minutes"))).cast("long")
     steps = steps.withColumn("daily_steps", daily)
     weekly = F.col("daily_steps") * 7

@@ -15,11 +15,15 @@ from wattline.operators import series as S
 from wattline.plans import inputs as I
 from wattline.plans.registry import ctes, query
 from wattline.session import scratch_path
+from wattline.sinks import maintain as M
 from wattline.sinks import tables as K
 from wattline.sources import feeds
 from wattline.sources import readings as SR
 
 
+LO, HI = datetime(2024, 1, 8), datetime(2024, 1, 20)
+
+
 def r(column, digits: int = 4):
     return F.round(column, digits)
 
@@ -172,6 +176,34 @@ def replace_slice(spark, folder):
     return K.replace_slice(base, new, F.col("source").isin("view", "error"))
 
 
+@query(
+    "SNK5 SNK1",
+    ctes("readings") + "SELECT time, meter_id, kwh, source FROM readings WHERE source <> 'view' OR time < TIMESTAMP '2024-01-08' OR time >= TIMESTAMP '2024-01-20' "
+    "UNION ALL SELECT time, meter_id, kwh * 2 AS kwh, source FROM readings WHERE source = 'view' AND time >= TIMESTAMP '2024-01-08' AND time < TIMESTAMP '2024-01-20'",
+)
+def replace_in_place(spark, folder):
+    """A stored table whose views of twelve days are replaced by twice their value, computed from the table itself."""
+    path = scratch_path(spark, "readings")
+    K.write_readings(I.readings(spark, folder).select("time", "meter_id", "kwh", "source"), path)
+    view = F.col("source") == "view"
+    new = M.half_open(spark.read.parquet(path), "time", LO, HI).filter(view).withColumn("kwh", F.col("kwh") * 2)
+    M.replace_in_place(spark, path, new, LO, HI, view)
+    return spark.read.parquet(path).select("time", "meter_id", "kwh", "source")
+
+
+@query(
+    "MOD6",
+    ctes("readings") + "SELECT time, meter_id, kwh FROM readings WHERE "
+    "DATE '1970-01-01' + CAST(floor(date_diff('day', DATE '1970-01-01', CAST(time AS DATE)) / 7) * 7 + 7 AS INTEGER) > TIMESTAMP '2024-01-25 12:00:00' - INTERVAL 12 DAY",
+)
+def retention_in_place(spark, folder):
+    """A stored table after its expired chunks are dropped."""
+    path = scratch_path(spark, "readings")
+    K.write_readings(I.readings(spark, folder), path)
+    M.drop_expired(spark, path, 12, I.NOW)
+    return spark.read.parquet(path).select("time", "meter_id", "kwh")
+
+
 @query(
     "SNK7",
     ctes("readings") + "SELECT source AS meter_id, time AS reading_time, kwh AS kwh_actual, round(kwh / 1.75, 9) AS kwh_expected, "
@@ -185,8 +217,6 @@ def events_from_flags(spark, folder):
 
 # ---- projections ---------------------------------------------------------------------------------------
 
-LO, HI = datetime(2024, 1, 8), datetime(2024, 1, 20)
-
 
 @query(
     "PRJ1",
@@ -381,6 +411,23 @@ def refresh_rollup(spark, folder):
     return rounded_rollup(R.refresh_rollup(old, raw, "1 hour", LO, hi))
 
 
+@query(
+    "AGG19",
+    ctes("readings") + "SELECT bucket, meter_id, round(sum(kwh), 4) AS kwh_total, round(avg(kwh), 9) AS kwh_avg, "
+    "max(kwh) AS kwh_max, count(*) AS reading_count FROM (SELECT date_trunc('hour', time) AS bucket, * FROM readings) "
+    "WHERE bucket < TIMESTAMP '2024-01-25 11:00:00' GROUP BY 1, 2",
+)
+def refresh_in_place(spark, folder):
+    """The same refresh of a stored rollup, whose chunks before the window are not touched."""
+    raw = I.readings(spark, folder)
+    old = R.rollup(raw.filter(F.col("time") < F.lit(datetime(2024, 1, 10))), "1 hour")
+    stale = F.when(F.col("bucket") >= F.lit(LO), F.lit(-1.0)).otherwise(F.col("kwh_total"))
+    path = scratch_path(spark, "hourly")
+    K.write_fact(old.withColumn("kwh_total", stale), path, ["meter_id"], time="bucket")
+    M.refresh_in_place(spark, path, raw, "1 hour", LO, I.NOW - timedelta(hours=1))
+    return rounded_rollup(spark.read.parquet(path).drop("time_chunk"))
+
+
 @query(
     "AGG19",
     ctes("readings") + "SELECT bucket, meter_id, CASE WHEN bucket >= TIMESTAMP '2024-01-18 12:00:00' AND bucket + INTERVAL 1 DAY <= TIMESTAMP '2024-01-24 12:00:00' "

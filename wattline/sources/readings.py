@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 from functools import reduce
 from urllib.parse import unquote
@@ -16,6 +17,8 @@ from wattline.schema import READING_COLUMNS, require_columns
 
 READABLE = "(time IS NOT NULL AND meter_id IS NOT NULL AND kwh IS NOT NULL)"
 READINGS_GLOB = "*_meter_readings.csv"
+#: Files whose header is read at the same time; each takes a small job.
+HEADERS = 16
 
 
 def read_readings_csv(
@@ -29,15 +32,17 @@ def read_readings_csv(
 
     ``glob`` limits a folder to matching names (``READINGS_GLOB`` finds the prepared feeds).  ``strict``
     raises on unreadable times and numbers, otherwise they become null for :func:`clean` to drop.
-    Columns are found by name in every file: each header is read once, files with the same one are scanned together.
+    Columns are found by name in every file: each header is read once, ``HEADERS`` files at a time, and files with the same
+    one are scanned together.
     """
     reader = spark.read.option("header", True)
     listing = spark.read.option("pathGlobFilter", glob) if glob else spark.read
+    files = sorted(unquote(f) for f in listing.text(path).inputFiles())
     by_header: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(unquote(f) for f in listing.text(path).inputFiles()):
-        columns = reader.csv(file).columns
-        require_columns(columns, {"time", "meter_id", "kwh", "is_anomaly"}, file)
-        by_header.setdefault(tuple(columns), []).append(file)
+    with ThreadPoolExecutor(HEADERS) as several:
+        for file, columns in zip(files, several.map(lambda file: tuple(reader.csv(file).columns), files), strict=True):
+            require_columns(columns, {"time", "meter_id", "kwh", "is_anomaly"}, file)
+            by_header.setdefault(columns, []).append(file)
     if not by_header:  # an empty folder, or nothing that matches
         raise FileNotFoundError(f"no readings file in {path}")
     tables = [_typed(reader.csv(files), strict, true_words) for files in by_header.values()]

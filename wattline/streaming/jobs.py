@@ -6,23 +6,29 @@ there and stops, otherwise the job runs on until stopped.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from wattline.operators.detect import residual_zscore
+from wattline.functions.text import severity
+from wattline.operators.detect import actual_vs_forecast
 from wattline.operators.rollups import REFRESH_POLICIES, rollup_columns
 from wattline.operators.series import global_index
 from wattline.operators.star import build_fact_readings, resolve_keys, source_code
 from wattline.schema import READING_COLUMNS
-from wattline.session import passing
+from wattline.session import passing, settled
+from wattline.sinks.maintain import chunks_of, compact, log_touched, read_chunks, recover, subfolders
 from wattline.sinks.tables import first_per_key, time_chunk
 from wattline.sources.readings import readings_from_messages, unreadable_messages
+from wattline.streaming.residuals import score_stream
 
+EVENTS = (
+    "meter_id string, reading_time timestamp, kwh_actual double, kwh_expected double, deviation double, z_score double, severity string"
+)
 # How long a duplicate filter on a stream remembers; the ingest itself does not forget.
 DEDUP_DELAY = "1 day"
 
@@ -39,36 +45,72 @@ def dedup_stream(readings: DataFrame, delay: str = DEDUP_DELAY) -> DataFrame:
     return readings.withWatermark("time", delay).dropDuplicatesWithinWatermark(["meter_id", "time"])
 
 
-def ingest_writer(out: str, rejected: str) -> Callable[[DataFrame, int], None]:
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the run a checkpoint stands for: the query's lasting id. A new checkpoint starts a new run."""
+    lines = spark.read.text(f"{checkpoint}/metadata").collect()  # one line, written by Spark when the query first starts
+    return f"run-{json.loads(lines[0][0])['id']}"
+
+
+def store_new(rows: DataFrame, out: str, run: str, batch_id: int, keys: Sequence[str] = ("meter_id", "time")) -> DataFrame:
+    """Store those rows whose key is not stored yet, and return them as stored.
+
+    The table lies by time chunk, run and batch. Only the chunks that the rows fall in are read, and a batch that is
+    repeated overwrites what it wrote before; a batch of another run never does.
+    """
+    spark = rows.sparkSession
+    layout = ["time_chunk", *keys]
+    rows = settled(rows.withColumn("time_chunk", time_chunk(F.col("time"))), "arrived")
+    chunks = {row[0] for row in rows.select("time_chunk").distinct().collect()}  # one per touched week
+    own = (F.col("run") == run) & (F.col("batch_id") == batch_id)
+    known = sorted(chunks.intersection(chunks_of(spark, out)))
+    if known:
+        rows = rows.join(read_chunks(spark, out, known).filter(~own).select(*keys), list(keys), "left_anti")
+    (
+        rows.withColumn("run", F.lit(run))
+        .withColumn("batch_id", F.lit(batch_id))
+        .repartitionByRange(*layout)
+        .sortWithinPartitions(*layout)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("time_chunk", "run", "batch_id")
+        .parquet(out)
+    )
+    stored = sorted(chunks.intersection(chunks_of(spark, out)))
+    return read_chunks(spark, out, stored).filter(own) if stored else rows.limit(0)
+
+
+def ingest_writer(out: str, rejected: str, run: Callable[[SparkSession], str], logs: Sequence[str] = (), merge: int = 64) -> Callable[[DataFrame, int], None]:
     """Batch function storing new readings below ``out`` and unreadable messages below ``rejected``.
 
-    However late, a reading is stored unless its (meter, time) is stored already; only the time chunks that the batch
-    touches are read for that. A batch owns its folders and overwrites them when repeated.
+    However late, a reading is stored unless its (meter, time) is stored already. Every rollup's log gets the buckets that
+    stored readings fall in. Chunks of more than ``merge`` batch folders are merged.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        unreadable_messages(batch).write.mode("overwrite").text(_batch_path(rejected, batch_id))
-        keys = ["meter_id", "time"]
-        rows = first_per_key(readings_from_messages(batch), keys, ["kwh"]).withColumn("time_chunk", time_chunk(F.col("time")))
-        if batch_id > 0:
-            stored = spark.read.schema(T.StructType([*rows.schema, T.StructField("batch_id", T.IntegerType())])).parquet(out)
-            chunks = [r[0] for r in rows.select("time_chunk").distinct().collect()]  # one per touched week
-            known = stored.filter((F.col("batch_id") < batch_id) & F.col("time_chunk").isin(chunks))
-            rows = rows.join(known.select(*keys), keys, "left_anti")
-        rows.select(*READING_COLUMNS, "time_chunk").write.mode("overwrite").partitionBy("time_chunk").parquet(_batch_path(out, batch_id))
+        with passing(spark):
+            recover(spark, out)
+            name = run(spark)
+            unreadable_messages(batch).write.mode("overwrite").text(_batch_path(f"{rejected}/run={name}", batch_id))
+            rows = first_per_key(readings_from_messages(batch).select(*READING_COLUMNS), ["meter_id", "time"], ["kwh"])
+            stored = store_new(rows, out, name, batch_id)
+            log_touched(stored, logs, f"{name}-{batch_id}")
+            if batch_id % merge == merge - 1:
+                compact(spark, out, chunks_of(spark, out), most=merge)
 
     return write
 
 
 def ingest_stream(
-    messages: DataFrame, out: str, checkpoint: str, rejected: str | None = None, available_now: bool = False
+    messages: DataFrame, out: str, checkpoint: str, rejected: str | None = None, available_now: bool = False, logs: Sequence[str] = ()
 ) -> StreamingQuery:
     """Messages to the readings table: decode, fill defaults, insert what is new, keep unreadable messages aside.
 
-    ``out`` is partitioned by batch and time chunk; unreadable messages go to ``rejected`` (``<out>-rejected``).
+    ``out`` lies by time chunk, run and batch; unreadable messages go to ``rejected`` (``<out>-rejected``). ``logs`` are
+    the folders from which :func:`wattline.sinks.maintain.refresh_touched` learns what late readings changed.
     """
-    writer = messages.writeStream.foreachBatch(ingest_writer(out, rejected or f"{out.rstrip('/')}-rejected"))
+    name = lambda spark: run_of(spark, checkpoint)
+    writer = messages.writeStream.foreachBatch(ingest_writer(out, rejected or f"{out.rstrip('/')}-rejected", name, logs))
     return _start(writer.option("checkpointLocation", checkpoint), available_now)
 
 
@@ -101,19 +143,17 @@ def _batch_path(out: str, batch_id: int) -> str:
     return f"{out}/batch_id={batch_id}"
 
 
-def _earlier_batches(spark: SparkSession, out: str, batch_id: int) -> DataFrame | None:
-    """What earlier batches wrote below ``out`` (None before the first)."""
-    if batch_id == 0:
-        return None
-    return spark.read.parquet(out).filter(F.col("batch_id") < batch_id).drop("batch_id")
+def _members(spark: SparkSession, path: str) -> DataFrame | None:
+    """What batches have written to a dimension (None before the first)."""
+    return spark.read.parquet(path) if subfolders(spark, path) else None
 
 
-def dual_writer(out: str) -> Callable[[DataFrame, int], None]:
+def dual_writer(out: str, run: Callable[[SparkSession], str] = lambda spark: "run-0") -> Callable[[DataFrame, int], None]:
     """Batch function writing readings and star-schema facts side by side.
 
-    Each batch owns one folder per table and overwrites it when repeated; new meters and sources get their
-    keys against the members of earlier batches only, so a repeat assigns the same ones. Intermediate tables go
-    with the batch.
+    Readings are stored unless their (meter, time) is, however late. Each batch owns its folders and overwrites them when
+    repeated; new meters and sources get their keys against the members of other batches only, so a repeat assigns the
+    same ones. A batch without new members adds no folder to a dimension. Intermediate tables go with the batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -122,31 +162,45 @@ def dual_writer(out: str) -> Callable[[DataFrame, int], None]:
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        legacy = _batch_path(f"{out}/readings", batch_id)
-        batch.select(*READING_COLUMNS).write.mode("overwrite").parquet(legacy)
-        rows = spark.read.parquet(legacy)
+        name = run(spark)
+        arrived = first_per_key(batch.select(*READING_COLUMNS), ["meter_id", "time"], ["kwh"])
+        rows = store_new(arrived, f"{out}/readings", name, batch_id).select(*READING_COLUMNS)
+        own = (F.col("run") == name) & (F.col("batch_id") == batch_id)
         dims = {}
         sources = rows.select(source_code().alias("source_code"))
         meters = rows.select("meter_id", source_code().alias("source_code"))
-        for name, members, natural, key in (
+        for table, members, natural, key in (
             ("dim_source", sources, ["source_code"], "source_key"),
             ("dim_meter", meters, ["meter_id"], "meter_key"),
         ):
-            known = _earlier_batches(spark, f"{out}/{name}", batch_id)
+            path = f"{out}/{table}"
+            held = _members(spark, path)
+            known = None if held is None else held.filter(~own).drop("run", "batch_id")
             everyone = resolve_keys(known, members, natural, key)
-            added = everyone if known is None else everyone.join(known, key, "left_anti")
-            added.write.mode("overwrite").parquet(_batch_path(f"{out}/{name}", batch_id))
-            dims[name] = spark.read.parquet(f"{out}/{name}").filter(F.col("batch_id") <= batch_id)
-        facts = build_fact_readings(rows, dims["dim_meter"], dims["dim_source"])
-        facts.write.mode("overwrite").parquet(_batch_path(f"{out}/fact_meter_reading", batch_id))
+            added = settled(everyone if known is None else everyone.join(known, key, "left_anti"), "members")
+            if not added.isEmpty():
+                added.write.mode("overwrite").parquet(_batch_path(f"{path}/run={name}", batch_id))
+            dims[table] = added if known is None else known.unionByName(added)
+        facts = build_fact_readings(rows, dims["dim_meter"], dims["dim_source"]).withColumn("time_chunk", time_chunk(F.col("time")))
+        layout = ["time_chunk", "meter_key", "time"]
+        (
+            facts.withColumn("run", F.lit(name))
+            .withColumn("batch_id", F.lit(batch_id))
+            .repartitionByRange(*layout)
+            .sortWithinPartitions(*layout)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("time_chunk", "run", "batch_id")
+            .parquet(f"{out}/fact_meter_reading")
+        )
 
     return write
 
 
 def dual_write_job(readings: DataFrame, out: str, checkpoint: str, available_now: bool = False) -> StreamingQuery:
-    """Run :func:`dual_writer` on a deduplicated readings stream."""
-    writer = readings.writeStream.foreachBatch(dual_writer(out)).option("checkpointLocation", checkpoint)
-    return _start(writer, available_now)
+    """Run :func:`dual_writer` on a readings stream."""
+    write = dual_writer(out, lambda spark: run_of(spark, checkpoint))
+    return _start(readings.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint), available_now)
 
 
 def detect_job(
@@ -155,33 +209,35 @@ def detect_job(
     out: str,
     checkpoint: str,
     threshold: float = 3.0,
+    rows: int = 96,
     available_now: bool = False,
+    silence: str | None = None,
 ) -> StreamingQuery:
-    """Residual detection on the hours each batch touches.
+    """Residual detection that keeps each meter's last residuals as state, see :mod:`wattline.streaming.residuals`.
 
-    A batch stores its rows, then scores all stored rows from the first touched hour on.
+    Each batch is joined with the predictions and scored against the state; no stored reading is read again. Events go to
+    ``<out>/events``. With ``silence`` (such as ``30 days``) the state of a meter that sends nothing for so long goes; such a
+    query watches the clock and does not end by itself.
     """
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch.select(*READING_COLUMNS).write.mode("overwrite").parquet(_batch_path(f"{out}/readings", batch_id))
-        here = spark.read.parquet(_batch_path(f"{out}/readings", batch_id))
-        lo = here.agg(F.min(F.date_trunc("hour", "time")).cast("timestamp_ntz")).first()[0]
-        if lo is None:
-            return
-        stored = spark.read.parquet(f"{out}/readings").filter(F.col("batch_id") <= batch_id).drop("batch_id")
-        with passing(spark):
-            found = residual_zscore(stored, predictions, lo, threshold)
-            found.write.mode("overwrite").parquet(_batch_path(f"{out}/events", batch_id))
-
-    writer = readings.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-    return _start(writer, available_now)
+    if silence is not None and available_now:
+        raise ValueError("a query with a silence limit never runs out of work: use it without available_now")
+    scored = score_stream(actual_vs_forecast(readings, predictions), rows, threshold, silence)
+    events = scored.select(
+        "meter_id",
+        F.col("time").alias("reading_time"),
+        "kwh_actual",
+        "kwh_expected",
+        (F.col("kwh_actual") - F.col("kwh_expected")).alias("deviation"),
+        "z_score",
+        severity(F.col("z_score"), threshold).alias("severity"),
+    )
+    writer = events.writeStream.outputMode("append").format("parquet").option("path", f"{out}/events")
+    return _start(writer.option("checkpointLocation", checkpoint), available_now)
 
 
 def detected_events(spark: SparkSession, out: str) -> DataFrame:
-    """Events found by :func:`detect_job`, each reading once (its first detection)."""
-    events = spark.read.parquet(f"{out}/events")
-    return first_per_key(events, ["meter_id", "reading_time"], ["batch_id"]).drop("batch_id")
+    """Events found by :func:`detect_job`, each reading once."""
+    return first_per_key(spark.read.schema(EVENTS).parquet(f"{out}/events"), ["meter_id", "reading_time"], ["z_score"])
 
 
 def replay(
