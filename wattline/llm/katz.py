@@ -314,10 +314,10 @@ def backoff_weights(statistics: DataFrame, counts: DataFrame, words: Words, fact
 
 
 def partial_scores(docs: DataFrame, words: Words, factors: np.ndarray, heavy: pa.Table, buckets: int) -> DataFrame:
-    """Parts of the documents' sums ``(row, role, key, a, b, c)``, settled.
+    """Parts of the documents' sums, settled.
 
-    Role 0: score, base and known tokens; 1: the id (key), tokens (a), whether held out (b); 2 and 3: a context and a word
-    (key) that are not frequent and how often they occur (a) in unseen pairs.
+    Role 0: the sums of a slice's documents from one bucket, packed; 1: a slice's documents with what needs no bucket; 2 and
+    3: a context and a word (key) that are not frequent and how often (n) they occur in unseen pairs of a document (row).
     """
     sent = docs.sparkSession.sparkContext.broadcast((words, factors, _by_mix(heavy)))
     numbered = docs.select("id", "held", "text")
@@ -367,14 +367,7 @@ def partial_scores(docs: DataFrame, words: Words, factors: np.ndarray, heavy: pa
     def merge(table: pa.Table) -> pa.Table:
         model, d, _ = sent.value
         if table["bucket"][0].as_py() < 0:
-            parts = []
-            for blob, first in zip(table["payload"].to_pylist(), table["first"].to_pylist(), strict=True):
-                ids, flags, sizes, score, base, found = unpacked(blob, (np.int64,) * 6)
-                n = len(ids)
-                row, zero = first + np.arange(n), np.zeros(n, np.int64)
-                parts.append(_rows(row, 1, pa.array(ids, mask=flags >= 2), sizes, flags % 2, zero))
-                parts.append(_rows(row, 0, pa.nulls(n, pa.int64()), score, base, found))
-            return pa.concat_tables(parts)
+            return _parts(1, first=table["first"].combine_chunks(), payload=table["payload"].combine_chunks())
         v, w, n, owner, first = collected(table, ENTRIES, model)
         n, row, train = n.astype(np.int64), first + (owner >> 1), (owner & 1).astype(np.int64)
         order, starts = same_pairs(v, w)
@@ -390,20 +383,51 @@ def partial_scores(docs: DataFrame, words: Words, factors: np.ndarray, heavy: pa
         by_row = np.argsort(row, kind="stable")
         begins = np.flatnonzero(np.concatenate([[True], np.diff(row[by_row]) != 0]))
         sums = [np.add.reduceat((x * n)[by_row], begins) for x in (score, base, found)]
-        parts = [_rows(row[by_row][begins], 0, pa.nulls(len(begins), pa.int64()), *sums)]
+        # One row per slice of the texts with the sums of its documents, so that their number does not multiply.
+        rows, slices = row[by_row][begins], first[by_row][begins]
+        cuts = np.flatnonzero(np.concatenate([[True], slices[1:] != slices[:-1]]))
+        blobs = [
+            packed((rows[a:z] - slices[a]).astype(np.uint32), *[x[a:z] for x in sums])
+            for a, z in zip(cuts, np.append(cuts[1:], len(rows)), strict=True)
+        ]
+        parts = [_parts(0, first=pa.array(slices[cuts]), payload=pa.array(blobs, pa.binary()))]
         for role, missing, key in ((2, unseen & (pv < 0), v), (3, unseen & (pw < 0), w)):
-            zero = np.zeros(int(missing.sum()), np.int64)
-            parts.append(_rows(row[missing], role, pa.array(key[missing].view(np.int64)), n[missing], zero, zero))
+            parts.append(_parts(role, row=pa.array(row[missing]), key=pa.array(key[missing].view(np.int64)), n=pa.array(n[missing])))
         return pa.concat_tables(parts)
 
-    fields = "row bigint, role tinyint, key bigint, a bigint, b bigint, c bigint"
-    parts = numbered.mapInArrow(fold, DEALT).groupBy("bucket").applyInArrow(merge, fields)
-    return settled(parts.groupBy("row", "role", "key").agg(*[F.sum(x).alias(x) for x in "abc"]), "parts")
+    parts = numbered.mapInArrow(fold, DEALT).groupBy("bucket").applyInArrow(merge, PARTS)
+    return settled(parts, "parts")
 
 
-def _rows(row: np.ndarray, role: int, key: pa.Array, *sums: np.ndarray) -> pa.Table:
-    columns = [pa.array(row), pa.array(np.full(len(row), role, np.int8)), key, *map(pa.array, sums)]
-    return pa.table(columns, names=["row", "role", "key", "a", "b", "c"])
+PARTS = "role tinyint, first bigint, payload binary, row bigint, key bigint, n bigint"
+
+
+def _parts(role: int, **columns: pa.Array) -> pa.Table:
+    size = len(next(iter(columns.values())))
+    kinds = {"first": pa.int64(), "payload": pa.binary(), "row": pa.int64(), "key": pa.int64(), "n": pa.int64()}
+    rest = {name: columns[name].cast(kind) if name in columns else pa.nulls(size, kind) for name, kind in kinds.items()}
+    return pa.table({"role": pa.array(np.full(size, role, np.int8)), **rest})
+
+
+def added_up(parts: DataFrame) -> DataFrame:
+    """``(row, id, held, n_tokens, n_known, base, score)``: the documents of a slice with the sums from all buckets."""
+
+    def add(table: pa.Table) -> pa.Table:
+        roles, blobs = table["role"].to_pylist(), table["payload"].to_pylist()
+        ids, flags, sizes, *sums = unpacked(blobs[roles.index(1)], (np.int64,) * 6)
+        sums = [x.copy() for x in sums]
+        for role, blob in zip(roles, blobs, strict=True):
+            if role == 0:
+                place, *more = unpacked(blob, (np.uint32, np.int64, np.int64, np.int64))
+                for x, y in zip(sums, more, strict=True):
+                    x[place] += y  # every document once a bucket
+        score, base, found = sums
+        row = table["first"][0].as_py() + np.arange(len(ids))
+        columns = [row, pa.array(ids, mask=flags >= 2), flags % 2 == 1, sizes, found, base, score]
+        return pa.table(list(map(pa.array, columns)), names=["row", "id", "held", "n_tokens", "n_known", "base", "score"])
+
+    fields = "row bigint, id bigint, held boolean, n_tokens bigint, n_known bigint, base bigint, score bigint"
+    return parts.filter("role < 2").select("role", "first", "payload").groupBy("first").applyInArrow(add, fields)
 
 
 def _by_mix(heavy: pa.Table) -> tuple[np.ndarray, ...]:
@@ -443,20 +467,18 @@ def scored(
     parts = partial_scores(rows, words, factors, statistics.filter("kind = 3").select("a", "b", "c").toArrow(), buckets)
 
     zero = F.lit(0).cast("bigint")
-    own = parts.filter("role = 1").select("row", F.col("key").alias("id"), F.col("a").alias("n_tokens"), F.col("b").alias("held"))
-    sums = parts.filter("role = 0").select("row", F.col("a").alias("score"), F.col("b").alias("base"), F.col("c").alias("n_known"))
     contexts = parts.filter("role = 2").join(weights, F.col("key") == F.col("word"), "left")
-    contexts = contexts.select("row", (F.col("a") * F.coalesce("weight", zero)).alias("score"))
+    contexts = contexts.select("row", (F.col("n") * F.coalesce("weight", zero)).alias("score"))
     single = parts.filter("role = 3").join(counts, F.col("key") == F.col("word"), "left")
-    single = single.select("row", (F.col("a") * log_column(words.probability_column(F.col("count")))).alias("score"))
-    every = own.unionByName(sums, True).unionByName(contexts, True).unionByName(single, True)
+    single = single.select("row", (F.col("n") * log_column(words.probability_column(F.col("count")))).alias("score"))
+    every = added_up(parts).unionByName(contexts, True).unionByName(single, True)
     added = every.groupBy("row").agg(
         F.max("id").alias("id"), F.max("held").alias("held"), F.max("n_tokens").alias("n_tokens"),
         *[F.sum(c).alias(c) for c in ("n_known", "base", "score")],
     )
     return added.select(
         F.col("id").alias(id_col),
-        (F.col("held") == 1).alias("held_out"),
+        F.col("held").alias("held_out"),
         "n_tokens",
         "n_known",
         F.lit(words.size).cast("bigint").alias("train_tokens"),
