@@ -241,6 +241,8 @@ def scheduled_refresh_in_place(
 
 def log_touched(rows: DataFrame, logs: Iterable[str], name: str) -> None:
     """Note on every log which finest buckets some stored rows fall in; a repetition uses the same name."""
+    if not (logs := list(logs)):
+        return
     touched = sized(rows.select(time_bucket(F.col("time"), LOG_WIDTH).alias("touched")).distinct())
     for log in logs:
         touched.write.mode("overwrite").parquet(f"{log}/{name}")
