@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wattline.operators import detect as D
+from wattline.session import setting
 from wattline.sinks import tables as K
 from wattline.sources import readings as SR
 from wattline.streaming import jobs as J
@@ -93,3 +94,16 @@ def test_stream_equals_batch(spark, tmp_path, files):
     assert got == want and len(got) > 10
     with pytest.raises(ValueError, match="silence"):
         J.detect_job(stream, predictions, str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True, silence="30 days")
+
+
+def test_detection_starts_in_a_session_with_other_state(spark, tmp_path):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    plain = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"  # Spark's own default
+    rows = [(START + timedelta(minutes=5 * i), "a", 1 + i % 7 / 100 + 30 * (i == 90), False, "s") for i in range(120)]
+    frame = spark.createDataFrame(rows, READINGS)
+    K.publish(frame, folder=str(tmp_path / "in"))
+    stream = SR.readings_from_messages(SR.read_messages(spark, folder=str(tmp_path / "in")))
+    with setting(spark, key, plain):
+        J.detect_job(stream, frame.select("meter_id", "time", F.lit(1.0).alias("kwh_pred")), str(tmp_path / "out"), str(tmp_path / "cp"), available_now=True)
+        assert spark.conf.get(key) == plain
+    assert [r["reading_time"] for r in J.detected_events(spark, str(tmp_path / "out")).collect()] == [rows[90][0]]

@@ -13,6 +13,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Streaming state on local disk instead of the executor heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def build_session(app: str = "wattline", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the library relies on; extra ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -22,10 +26,7 @@ def build_session(app: str = "wattline", master: str | None = None, **conf: obje
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        # Streaming state on local disk instead of the executor heap.
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     }
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     for key, value in settings.items():
@@ -39,6 +40,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting inside the block only."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application; needless where it is installed on all machines."""
     package = Path(__file__).parent

@@ -20,7 +20,7 @@ from wattline.operators.rollups import REFRESH_POLICIES, rollup_columns
 from wattline.operators.series import global_index
 from wattline.operators.star import build_fact_readings, resolve_keys, source_code
 from wattline.schema import READING_COLUMNS
-from wattline.session import passing, settled
+from wattline.session import ROCKSDB, passing, setting, settled
 from wattline.sinks.maintain import chunks_of, compact, log_touched, read_chunks, recover, subfolders
 from wattline.sinks.tables import first_per_key, time_chunk
 from wattline.sources.readings import readings_from_messages, unreadable_messages
@@ -232,7 +232,9 @@ def detect_job(
         severity(F.col("z_score"), threshold).alias("severity"),
     )
     writer = events.writeStream.outputMode("append").format("parquet").option("path", f"{out}/events")
-    return _start(writer.option("checkpointLocation", checkpoint), available_now)
+    # A query keeps the settings it was started with; only this store has the lists that the state consists of.
+    with setting(readings.sparkSession, "spark.sql.streaming.stateStore.providerClass", ROCKSDB):
+        return _start(writer.option("checkpointLocation", checkpoint), available_now)
 
 
 def detected_events(spark: SparkSession, out: str) -> DataFrame:

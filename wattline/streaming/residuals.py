@@ -87,7 +87,7 @@ class Scorer(StatefulProcessor):
 def score_stream(joined: DataFrame, rows: int, threshold: float, silence: str | None = None) -> DataFrame:
     """Rows of ``(time, meter_id, kwh_actual, kwh_expected)`` with a score above the threshold, as a stream.
 
-    Rows of a meter that come in one batch are sorted in one task. Needs the RocksDB state store.
+    Rows of a meter that come in one batch are sorted in one task. Start it with the RocksDB state store.
     """
     silence_ms = None if silence is None else int(pd.Timedelta(silence).total_seconds() * 1000)
     rows_in = joined.filter("kwh_actual IS NOT NULL AND kwh_expected IS NOT NULL").select(
