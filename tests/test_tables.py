@@ -141,6 +141,19 @@ def test_daily_totals_fill_gaps(spark):
     assert got == {("a", date(2023, 1, 1)): 1.0, ("a", date(2023, 1, 2)): 0.0, ("a", date(2023, 1, 3)): 2.0, ("b", date(2023, 1, 1)): 5.0}
 
 
+def test_daily_totals_shuffle_no_empty_days(spark):
+    rows = [(START, "a", 1.0), (START + timedelta(days=40), "a", None), (START, None, 3.0), (START + timedelta(days=1), None, 4.0), (None, "a", 9.0), (None, "c", 9.0)]
+    df = spark.createDataFrame(rows, "time timestamp, meter_id string, kwh double")
+    daily = P.daily_totals(df)
+    got = daily.collect()
+    assert sorted((r["meter_id"] or "", r["day"].toordinal(), r["daily_kwh"]) for r in got) == sorted(
+        [("", START.toordinal() + i, 0.0) for i in range(2)] + [("a", START.toordinal() + i, 1.0 * (i == 0)) for i in range(41)]
+    )
+    plan = daily._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert {r["meter_id"] for r in R.keep_largest(daily, 1).collect()} == {"a"}
+
+
 def test_keys_grow_and_stay(spark):
     first = ST.resolve_keys(None, spark.createDataFrame([("b",), ("a",), ("b",)], "code string"), ["code"], "key")
     assert {r["code"]: r["key"] for r in first.collect()} == {"a": 1, "b": 2}

@@ -59,10 +59,17 @@ def hourly_profile(df: DataFrame) -> DataFrame:
 
 
 def daily_totals(df: DataFrame) -> DataFrame:
-    """Daily consumption per meter from its first to its last day, days without readings as zero."""
-    sums = df.groupBy("meter_id", F.to_date("time").alias("day")).agg(F.sum("kwh").alias("daily_kwh"))
-    days = sums.groupBy("meter_id").agg(F.explode(F.sequence(F.min("day"), F.max("day"))).alias("day"))
-    return days.join(sums, ["meter_id", "day"], "left").fillna(0.0, ["daily_kwh"])
+    """Daily consumption per meter from its first to its last day, days without readings as zero.
+
+    Rows without a time have no day; readings without a meter give days, but count for none. Only days with readings are
+    shuffled: each brings the empty days up to the next one.
+    """
+    sums = df.groupBy("meter_id", F.to_date("time").alias("day")).agg(F.sum("kwh").alias("daily_kwh")).filter("day IS NOT NULL")
+    following = F.lead("day").over(Window.partitionBy("meter_id").orderBy("day"))
+    runs = sums.select("meter_id", F.col("day").alias("_own"), "daily_kwh", F.coalesce(F.date_sub(following, 1), "day").alias("_last"))
+    days = runs.select("meter_id", "_own", "daily_kwh", F.explode(F.sequence("_own", "_last")).alias("day"))
+    counted = F.when(F.col("meter_id").isNotNull() & (F.col("day") == F.col("_own")), F.col("daily_kwh"))
+    return days.select("meter_id", "day", counted.alias("daily_kwh")).fillna(0.0, ["daily_kwh"])
 
 
 def histogram(df: DataFrame, bins: int = 80) -> DataFrame:
