@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from wattline.llm import language, quality
@@ -40,6 +41,35 @@ def test_foreign_texts_and_gibberish_are_rejected_at_every_length(spark):
     assert len(rejected & set(range(len(clean)))) <= 2
 
 
+def test_all_training_texts_set_the_model(spark):
+    """A sample of two texts per language must only start the search, whatever the others are."""
+    rng = random.Random(23)
+    langs = sorted(SOUNDS)
+    rows = [(i, invented(rng, rng.choice([3, 30, 100]), lang), lang, "s", 1) for i, lang in enumerate(langs * 60)]
+    train = spark.createDataFrame([*rows, (-1, "123", langs[0], "s", 1), (-2, None, langs[0], "s", 1), (-3, "word", None, "s", 1)], DOCS)
+    model = language.fit(train, sample=2)
+    known, there = language.matrix([r[1] for r in rows])
+    assert there.all()
+    want = np.log((1 + len(rows)) / (1 + (known > 0).sum(axis=0))) + 1
+    assert np.allclose(model.idf, want)
+    pieces = [(r[2], p) for r in rows for p in language.passages(r[1]) if language.grams(p) is not None]
+    counted, _ = language.matrix([p for _, p in pieces])
+    near, bands = model.near(counted), language.bands(counted)
+    best = [near[i, model.own[lang]].max() for i, (lang, _) in enumerate(pieces)]
+    pairs = train.filter("text IS NOT NULL AND lang IS NOT NULL").select("lang", F.col("text").alias("t"))
+    got = language.limits(pairs, model)
+    for (lang, band), (n, least) in got.items():
+        values = [x for x, (name, _), b in zip(best, pieces, bands, strict=True) if b == band and lang in (None, name)]
+        assert n == len(values) and abs(least - np.quantile(values, language.OUTLIERS)) < 1e-5
+    assert {(None, b) for b in bands.tolist()} <= got.keys()
+    sums = language.assigned(pairs, model)
+    whole = [sums[model.own[lang]].sum(axis=0) for lang in langs]
+    weighted = language.unit(known * model.idf)
+    for lang, total in zip(langs, whole, strict=True):
+        own = weighted[[r[2] == lang for r in rows]].sum(axis=0)
+        assert np.allclose(total / language.UNIT, own, atol=1e-3)
+
+
 def test_texts_without_common_words_and_menus_are_not_kept(spark):
     """Fixed limits kept every text without a single common word, however long; menus differ from prose in nothing else."""
     rng = random.Random(22)

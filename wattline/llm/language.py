@@ -2,32 +2,37 @@
 
 A text is the bag of its letter 1-, 2- and 3-grams (lower case; whatever is not a letter is one blank), hashed to ``DIMS``
 dimensions, weighted by TF-IDF and scaled to length one. Each language has up to ``CENTROIDS`` centroids from spherical
-k-means; the language of the most similar centroid wins.
+k-means; the language of the most similar centroid wins. Document frequencies, centroids and limits are those of all
+training texts; only the starting points of k-means come from about ``SAMPLE`` texts per language.
 
 Similarity grows with the number of different grams, so each language has a limit for every doubling of that number: what
 all but ``OUTLIERS`` of the passages of that band, cut from training texts, reach towards their own language. A text below
 the limit of its language and band is rejected. Where a language has too few passages for the quantile, those of all
 languages set the limit, and where these are too few, too, the limit of the band below holds.
 
-The classifier is fitted on the driver from a bounded sample: about ``SAMPLE`` texts per language. The passages are
-compared by the workers.
+Texts are counted, assigned to centroids and cut into passages by the workers. The driver gets sums by dimension and by
+centroid, and one limit per language and band.
 """
 
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import annotated, schema, stratified
+from wattline.llm.common import SLICE, annotated, schema, stratified
+from wattline.operators.quantiles import exact_quantiles
 from wattline.session import settled
 
 DIMS = 4096
 CENTROIDS = 3
 SAMPLE = 600
+#: Rounds of k-means over all training texts, after those over the sample; coordinates are summed in this fraction.
+ROUNDS, UNIT = 2, 1 << 20
 #: The share of training passages below the limit of their language and band; the number of bands.
 OUTLIERS, BANDS = 0.002, 13
 UNKNOWN = "und"
@@ -97,26 +102,34 @@ def clusters(rows: np.ndarray, most: int, rounds: int = 12) -> np.ndarray:
 
 
 class Model:
-    def __init__(self, rows: np.ndarray, labels: list[str]):
+    def __init__(self, rows: np.ndarray, labels: list[str], texts: int, frequencies: np.ndarray):
+        """Starting points from ``rows``, weighted by how many of all ``texts`` have each gram."""
         order = sorted(set(labels))
         labels_at = np.array([order.index(x) for x in labels], int)
-        self.idf = np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))).astype(np.float32) + 1
+        self.idf = np.log((1 + texts) / (1 + frequencies)).astype(np.float32) + 1
         rows = unit(rows * self.idf)
         parts = [clusters(rows[labels_at == k], CENTROIDS) for k in range(len(order))]
         self.names = [name for name, part in zip(order, parts, strict=True) for _ in part]
+        self.own = {name: np.flatnonzero(np.array(self.names) == name) for name in order}
         self.centres = np.vstack(parts).T.astype(np.float32)
         self.least = np.zeros((len(self.names), BANDS))
 
     def near(self, rows: np.ndarray) -> np.ndarray:
         return unit(rows * self.idf) @ self.centres
 
-    def reached(self, text: str, lang: str) -> tuple[list[int], list[float]]:
-        """The bands of a training text's passages and their similarities to its language."""
-        rows, there = matrix(passages(text))
-        own = [k for k, name in enumerate(self.names) if name == lang]
-        if not there.any() or not own:
-            return [], []
-        return bands(rows[there]).tolist(), self.near(rows[there])[:, own].max(axis=1).tolist()
+    def reached(self, text: str, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """The grams of a text of a known language, their coordinates, and the similarity to the language's centroids."""
+        found = grams(text) if lang in self.own else None
+        if found is None:
+            return None
+        at = np.flatnonzero(found)
+        values = unit((np.log1p(found[at]).astype(np.float32) * self.idf[at])[None])[0]
+        return at, values, values @ self.centres[at][:, self.own[lang]]
+
+    def move(self, sums: np.ndarray) -> None:
+        """Each centroid to the sum of its texts, where it has any."""
+        some = sums.any(axis=1)
+        self.centres[:, some] = unit(sums[some].astype(float)).T.astype(np.float32)
 
     def limit(self, found: dict[tuple[str | None, int], tuple[int, float]]) -> None:
         """Set the limits from the passages and their quantile by language (None: all languages) and band."""
@@ -144,9 +157,9 @@ def held_out(id_col: str = "doc_id"):
 
 
 def fit(train: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE) -> Model | None:
-    """Fit from about ``sample`` texts per language; None if no row has a language and a letter."""
-    rows = stratified(train.filter(F.col(text).isNotNull()).select(id_col, lang, text), lang, id_col, sample)
-    rows = settled(rows, "sample")
+    """Fit on all rows that have a language and a letter, started from about ``sample`` texts per language; None if there is none."""
+    known = train.filter(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(id_col, lang, text)
+    rows = settled(stratified(known, lang, id_col, sample), "sample")
 
     def start():
         def made(texts: list) -> list[list]:
@@ -161,25 +174,81 @@ def fit(train: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
         return None
     got = got.sort_by([(id_col, "ascending"), (lang, "ascending")])
     values = np.stack([np.frombuffer(x, np.float16) for x in got["grams"].to_pylist()]).astype(np.float32)
-    model = Model(values, got[lang].to_pylist())
-    model.limit(limits(rows, model, text, lang))
+    pairs = known.select(F.col(lang).alias("lang"), F.col(text).alias("t"))
+    model = Model(values, got[lang].to_pylist(), *frequencies(pairs))
+    for _ in range(ROUNDS):
+        model.move(assigned(pairs, model))
+    model.limit(limits(pairs, model))
     return model
 
 
-def limits(rows: DataFrame, model: Model, text: str, lang: str) -> dict[tuple[str | None, int], tuple[int, float]]:
-    """By language (None: all languages) and band: the passages of the sample, and what all but ``OUTLIERS`` of them reach."""
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE):
+            yield from zip(*(c.to_pylist() for c in whole.slice(at, SLICE).columns), strict=True)
+
+
+def frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
+    """How many texts have a letter, and how many have each gram."""
+
+    def counted(batches):
+        sums = np.zeros(DIMS + 1, np.int64)
+        for _, value in _pairs(batches):
+            if (found := grams(value)) is not None:
+                sums[:DIMS] += found > 0
+                sums[DIMS] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(range(DIMS + 1), pa.int32()), pa.array(sums)], ["b", "n"])
+
+    out = np.zeros(DIMS + 1, np.int64)
+    for b, n in rows.mapInArrow(counted, "b int, n bigint").groupBy("b").agg(F.sum("n")).collect():  # a row per gram
+        out[b] = n
+    return int(out[DIMS]), out[:DIMS]
+
+
+def assigned(rows: DataFrame, model: Model) -> np.ndarray:
+    """The sum of the texts nearest to each centroid of their own language, in whole fractions, so that no order matters."""
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
+    def summed(batches):
+        own = shared.value
+        sums = np.zeros((len(own.names), DIMS), np.int64)
+        for name, value in _pairs(batches):
+            if (found := own.reached(value, name)) is not None:
+                at, values, near = found
+                sums[own.own[name][near.argmax()], at] += np.rint(values * UNIT).astype(np.int64)
+        k, b = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(b, pa.int32()), pa.array(sums[k, b])], ["k", "b", "n"])
+
+    out = np.zeros((len(model.names), DIMS), np.int64)
+    sums = rows.mapInArrow(summed, "k int, b int, n bigint").groupBy("k", "b").agg(F.sum("n")).toArrow()  # the size of the model
+    out[sums.column(0).to_numpy(), sums.column(1).to_numpy()] = sums.column(2).to_numpy()
+    return out
+
+
+def limits(rows: DataFrame, model: Model) -> dict[tuple[str | None, int], tuple[int, float]]:
+    """By language (None: all languages) and band: the passages of all texts, and what all but ``OUTLIERS`` of them reach."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    fields = ["lang", "band", "near"]
+
     def compared(batches):
-        for batch in batches:
-            for name, whole in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                at, near = shared.value.reached(whole, name)
-                yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(near, pa.float64())], ["lang", "band", "near"])
-
-    each = rows.select(F.col(lang).alias("lang"), F.col(text).alias("t")).mapInArrow(compared, "lang string, band int, near double")
-    counted = each.rollup("band", "lang").agg(F.count(F.lit(1)), F.percentile("near", F.lit(OUTLIERS)))
-    found = counted.filter("band IS NOT NULL").collect()  # a row per language and band
-    return {(name, b): (n, least) for b, name, n, least in found}
+        own = shared.value
+        names, at, near = [], [], []
+        for name, whole in _pairs(batches):
+            for passage in passages(whole):
+                if (found := own.reached(passage, name)) is not None:
+                    names.append(name)
+                    at.append(len(found[0]).bit_length() - 1)
+                    near.append(float(found[2].max()))
+            if len(names) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(at, pa.int32()), pa.array(near)], fields)
+                names, at, near = [], [], []
+        if names:
+            yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(at, pa.int32()), pa.array(near)], fields)
+
+    each = settled(rows.mapInArrow(compared, "lang string, band int, near double"), "passages")
+    both = each.select("band", F.explode(F.array("lang", F.lit(None))).alias("lang"), "near")
+    found = exact_quantiles(both, ["band", "lang"], "near", {"least": OUTLIERS})
+    return {(r["lang"], r["band"]): (r["n_values"], r["least"]) for r in found.collect()}  # a row per language and band
 
 
 def predicted(docs: DataFrame, model: Model | None, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
