@@ -54,22 +54,23 @@ def measured(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
     trimmed = F.btrim("t", F.lit(SEPARATORS))
     words = F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, "[\\x20\\x09-\\x0D]+"))
     lines = F.filter(F.split("t", "\n"), lambda x: F.btrim(x, F.lit(SEPARATORS)) != "")
-    kept_after = lambda drop: F.length(F.translate("t", drop, "")).cast("long")
-    without = lambda pattern: F.length(F.regexp_replace("t", pattern, "")).cast("long")
+    # Most characters are lower-case letters; the other classes share none with them and are counted in what is left.
+    rows = rows.withColumn("rest", F.regexp_replace("t", "\\p{Ll}+", ""))
+    without = lambda pattern: F.length(F.regexp_replace("rest", pattern, "")).cast("long")
     rows = rows.select(
         *own,
         F.length("t").cast("long").alias("n_chars"),
+        F.length("rest").cast("long").alias("no_lower"),
         words.alias("w"),
         lines.alias("lines"),
-        kept_after(SEPARATORS).alias("word_chars"),
-        kept_after(SYMBOLS).alias("no_symbols"),
-        without("\\p{Ll}+").alias("no_lower"),
+        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        without(f"[{SYMBOLS}]+").alias("no_symbols"),
         without("\\p{Lu}+").alias("no_upper"),
         without("[0-9]+").alias("no_digits"),
         without("[.,;:!?'\"()-]+").alias("no_marks"),
     )
-    count = lambda c: F.col("n_chars") - F.col(c)
-    chars = [count(c) for c in ("no_lower", "no_upper", "no_digits", "no_marks", "no_symbols", "word_chars")]
+    count = lambda c: F.col("no_lower") - F.col(c)
+    chars = [F.col("n_chars") - F.col("no_lower"), *map(count, ("no_upper", "no_digits", "no_marks", "no_symbols")), F.col("n_chars") - F.col("word_chars")]
     chars.append(F.col("n_chars") - reduce(lambda x, y: x + y, chars))
     windows = F.transform(
         F.expr("slice(w, 1, greatest(size(w) - 2, 0))"),
@@ -91,9 +92,12 @@ def measured(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
         F.size(F.array_distinct("h")) < F.size("h"),
         F.sort_array(F.transform("h", lambda x, i: F.struct(x.alias("x"), i.alias("i")))),
     )
-    counts = F.transform(F.array(*map(F.lit, VOCABULARY)), lambda c: F.size("common") - F.size(F.array_remove("common", c)))
+    # The common words in one string, each between two blanks of its own: searching it for a word costs less than an array.
+    bare = F.octet_length("joined")
+    hits = lambda c: ((bare - F.octet_length(F.replace("joined", c, F.lit("")))) / F.octet_length(c)).cast("int")
+    counts = F.transform(F.array(*[F.lit(f" {w} ") for w in VOCABULARY]), hits)
     counts = F.concat(counts, F.array((F.col("n_words") - F.size("common")).cast("int")))
-    rows = rows.select(
+    rows = rows.withColumn("joined", F.concat(F.lit(" "), F.array_join("common", "  "), F.lit(" "))).select(
         *own, "n_words", "word_chars", "n_symbols", "n_dup_lines", "chars", counts.alias("words"), ordered.alias("ordered")
     )
     twice = F.filter(
@@ -113,8 +117,9 @@ def measured(docs: DataFrame, text: str, carry: list[str]) -> DataFrame:
 
 def shares(counts: str) -> Column:
     """A histogram of counts as shares; all 0 if there are none."""
-    sum_of = total(F.transform(counts, lambda x: x.cast("double")))
-    return F.transform(counts, lambda x: F.coalesce(F.try_divide(x.cast("double"), sum_of), F.lit(0.0)))
+    of = lambda sum_of: F.transform(counts, lambda x: F.coalesce(F.try_divide(x.cast("double"), sum_of), F.lit(0.0)))
+    # The sum is handed over: named inside the last step it would be added up again for every count.
+    return F.aggregate(F.transform(counts, lambda x: x.cast("double")), F.lit(0.0), lambda x, y: x + y, of)
 
 
 def distance(p: Column, q: list[float]) -> Column:
