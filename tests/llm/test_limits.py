@@ -6,7 +6,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from wattline.llm import language, quality
+from wattline.llm import language, quality, queries
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 SOUNDS = {
@@ -113,3 +113,19 @@ def test_histograms_equal_plain_counts(spark):
         assert got[i]["n_symbols"] == sum(c in quality.SYMBOLS for c in text or "")
     plan = quality.measured(docs, "text", ["doc_id"])._jdf.queryExecution().optimizedPlan().toString()
     assert "array_remove" not in plan and "translate" not in plan  # they took a third of the time
+
+
+def test_texts_are_dealt_once_however_few_the_labels(spark, tmp_path, monkeypatch):
+    """Few good ids were broadcast, more of them shuffled the texts: what a small table took told nothing about a large one."""
+    docs = spark.createDataFrame([(i % 30, f"text {i}", "en", "s", 1) for i in range(40)] + [(None, "text", "en", "s", 1)], DOCS)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.range(20).selectExpr("id AS doc_id", "int(id % 10 = 0) AS quality", "0 AS toxic")
+    labels.union(labels).write.parquet(str(tmp_path / "labels.parquet"))
+    seen = []
+    monkeypatch.setattr(queries.importance, "resampled", lambda marked, target: seen.append((marked, target)))
+    queries.op3_importance(spark, str(tmp_path))
+    marked, target = seen[0]
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert plan(marked.select(target, "text")).count("SortMergeJoin") == 1
+    assert "Join" not in plan(marked.select("doc_id", "text"))
+    assert marked.count() == 41 and sorted(r["doc_id"] for r in marked.filter(target).collect()) == [0, 0, 10]
