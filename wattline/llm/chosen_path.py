@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import annotated, schema
+from wattline.llm.common import annotated, in_batches, schema
 from wattline.llm.components import components
 from wattline.session import settled, sized
 
@@ -211,7 +211,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
                     keep.append(100 * both >= percent * (len(left) + len(right) - both))
                 yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return met.mapInArrow(compared, "a bigint, b bigint")
+    return in_batches(met, compared, "a bigint, b bigint")
 
 
 def near_duplicates(
@@ -359,7 +359,7 @@ def compared_large(rows: DataFrame, texts: DataFrame, k: int, threshold: float)
                         out += [(min(cid, other), max(cid, other)) for other in index.partners(root, values, threshold)]
                 yield _pairs(out)
 
-    return dealt.mapInArrow(compare, "a bigint, b bigint")
+    return in_batches(dealt, compare, "a bigint, b bigint")
 
 
 class Index:

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 
 #: Texts handed to Python at once; bounds a worker's memory when texts are long.
 SLICE = 256
+#: Rows that Spark packs for Python at once. Texts are packed outside an executor's heap, twice and with room to grow.
+PACKED = 1024
 
 #: The six ASCII separators of words.
 SEPARATORS = " \t\n\x0b\f\r"
@@ -20,6 +22,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def in_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], fields: T.StructType | str) -> DataFrame:
+    """``df.mapInArrow`` for rows with texts: from now on the session packs at most ``PACKED`` rows at once.
+
+    The setting is read when the result is computed, so it must outlast this call. A smaller one is left as it is.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= PACKED:
+        conf.set(key, PACKED)
+    return df.mapInArrow(run, fields)
+
+
 def annotated(
     df: DataFrame, text: str, carry: list[str], fields: T.StructType, start: Callable[[], Callable[[list], list[list]]]
 ) -> DataFrame:
@@ -45,7 +58,7 @@ def annotated(
                 new = [v if isinstance(v, pa.Array) else pa.array(v, k) for v, k in zip(new, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*old, *new], names=names)
 
-    return inner.mapInArrow(run, schema)
+    return in_batches(inner, run, schema)
 
 
 def arrow_types(fields: T.StructType) -> list[pa.DataType]:

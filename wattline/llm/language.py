@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattline.llm.common import SLICE, annotated, schema, stratified
+from wattline.llm.common import SLICE, annotated, in_batches, schema, stratified
 from wattline.operators.quantiles import exact_quantiles
 from wattline.session import settled
 
@@ -200,7 +200,7 @@ def frequencies(rows: DataFrame) -> tuple[int, np.ndarray]:
         yield pa.RecordBatch.from_arrays([pa.array(range(DIMS + 1), pa.int32()), pa.array(sums)], ["b", "n"])
 
     out = np.zeros(DIMS + 1, np.int64)
-    for b, n in rows.mapInArrow(counted, "b int, n bigint").groupBy("b").agg(F.sum("n")).collect():  # a row per gram
+    for b, n in in_batches(rows, counted, "b int, n bigint").groupBy("b").agg(F.sum("n")).collect():  # a row per gram
         out[b] = n
     return int(out[DIMS]), out[:DIMS]
 
@@ -220,7 +220,7 @@ def assigned(rows: DataFrame, model: Model) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(b, pa.int32()), pa.array(sums[k, b])], ["k", "b", "n"])
 
     out = np.zeros((len(model.names), DIMS), np.int64)
-    sums = rows.mapInArrow(summed, "k int, b int, n bigint").groupBy("k", "b").agg(F.sum("n")).toArrow()  # the size of the model
+    sums = in_batches(rows, summed, "k int, b int, n bigint").groupBy("k", "b").agg(F.sum("n")).toArrow()  # the size of the model
     out[sums.column(0).to_numpy(), sums.column(1).to_numpy()] = sums.column(2).to_numpy()
     return out
 
@@ -245,7 +245,7 @@ def limits(rows: DataFrame, model: Model) -> dict[tuple[str | None, int], tuple[
         if names:
             yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(at, pa.int32()), pa.array(near)], fields)
 
-    each = settled(rows.mapInArrow(compared, "lang string, band int, near double"), "passages")
+    each = settled(in_batches(rows, compared, "lang string, band int, near double"), "passages")
     both = each.select("band", F.explode(F.array("lang", F.lit(None))).alias("lang"), "near")
     found = exact_quantiles(both, ["band", "lang"], "near", {"least": OUTLIERS})
     return {(r["lang"], r["band"]): (r["n_values"], r["least"]) for r in found.collect()}  # a row per language and band
